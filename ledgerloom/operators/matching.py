@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+import json
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 # A mapping up to this many rows is put into the plan itself.
@@ -49,33 +51,34 @@ def _best_tag_in_plan(df: DataFrame, key: str, tags: str, rows: list[Row]) -> Da
         rows,
         key=lambda r: (r.priority is None, r.priority or 0, r.tag, r.target is not None, r.target or ""),
     )
-    position = {}
-    for index, row in enumerate(ordered):
-        position.setdefault(row.tag, index)
-    if not position:
-        return df.withColumns(
-            {c: F.lit(None).cast("string") for c in ("matched_tag", "matched_target")}
-        )
-    # The mapping is sorted by (priority, tag), so the winner is the lowest position.
-    lookup = F.create_map(*[F.lit(x) for pair in position.items() for x in pair])
-    # The list membership is a hash probe; only the few tags that pass reach the map.
-    known = F.filter(F.transform(tags, F.lower), lambda t: t.isin(*position))
-    winner = F.array_min(F.transform(known, lambda t: lookup[t]))
-    winner = F.when(F.col(key).isNotNull(), winner)
-    tag_names = F.array(*[F.lit(r.tag) for r in ordered])
-    targets = F.array(*[F.lit(r.target).cast("string") for r in ordered])
+    if not ordered:
+        nothing = F.lit(None).cast("string")
+        return df.withColumns({"matched_tag": nothing, "matched_target": nothing})
+    # Sorted by (priority, tag): the winner is the tag with the lowest position.
+    names = _constant_list([row.tag for row in ordered])
+    targets = _constant_list([row.target for row in ordered])
+    # Membership is a hash probe; only the few tags that pass are looked up in the list.
+    listed = sorted({row.tag for row in ordered})
+    known = F.filter(F.transform(tags, F.lower), lambda t: t.isin(listed))
+    position = F.array_min(F.transform(known, lambda t: F.array_position(names, t)))
+    index = F.when(F.col(key).isNotNull(), (position - 1).cast("int"))
     return (
-        df.withColumn("__winner", winner)
+        df.withColumn("__index", index)
         .withColumns(
             {
-                "matched_tag": F.get(tag_names, F.col("__winner")),
-                "matched_target": F.get(targets, F.col("__winner")),
+                "matched_tag": F.get(names, F.col("__index")),
+                "matched_target": F.get(targets, F.col("__index")),
             }
         )
-        .drop("__winner")
+        .drop("__index")
     )
 
 
+def _constant_list(texts: list[str | None]) -> Column:
+    """An array that Spark folds into one constant, instead of one Column per element."""
+    return F.from_json(F.lit(json.dumps(texts)), "array<string>")
+
+
 def _best_tag_by_join(df: DataFrame, key: str, tags: str, mapping: DataFrame) -> DataFrame:
     candidates = (
         df.where(F.col(key).isNotNull())
