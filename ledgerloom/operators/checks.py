@@ -24,9 +24,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.measures import older_than, outside_tolerance
 from ledgerloom.operators.matching import without_parent
+from ledgerloom.sources.seeds import in_plan_table
 
 Tables = Mapping[str, DataFrame]
 
@@ -34,6 +36,19 @@ RESULT_COLUMNS = (
     "check", "layer", "kind", "dimension", "severity", "n_total", "n_failed", "pct_failed", "verdict",
 )
 
+_LABELS = T.StructType(
+    [
+        T.StructField("check", T.StringType()),
+        T.StructField("layer", T.StringType()),
+        T.StructField("kind", T.StringType()),
+        T.StructField("dimension", T.StringType()),
+        T.StructField("severity", T.StringType()),
+        T.StructField("warn_above", T.LongType()),
+        T.StructField("error_above", T.LongType()),
+        T.StructField("error_share", T.DecimalType(9, 6)),
+    ]
+)
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -47,18 +62,6 @@ class Limits:
     def severity(self) -> str:
         return "warn" if self.warn_above is not None else "error"
 
-    def verdict(self, n_total: Column, n_failed: Column) -> Column:
-        result = F
-        if self.error_share is not None:
-            # Exact: a binary fraction such as 1 - 0.8 would move the limit.
-            allowed = n_total.cast("decimal(20,0)") * F.lit(self.error_share)
-            result = result.when(n_failed > allowed, "error")
-        elif self.error_above is not None:
-            result = result.when(n_failed > self.error_above, "error")
-        if self.warn_above is not None:
-            result = result.when(n_failed > self.warn_above, "warn")
-        return result.otherwise("pass")
-
 
 @dataclass(frozen=True)
 class Check:
@@ -377,21 +380,46 @@ def evaluate(checks: Sequence[Check], tables: Tables) -> DataFrame:
     """One row per check: total, failures, percentage and verdict."""
     by_table: dict[str, list[RowCheck]] = {}
     by_key: dict[tuple, list[KeyCheck]] = {}
-    parts: list[DataFrame] = []
+    counts: list[DataFrame] = []
     for check in checks:
         if isinstance(check, RowCheck):
             by_table.setdefault(check.table, []).append(check)
         elif isinstance(check, KeyCheck):
             by_key.setdefault((check.table, check.keys), []).append(check)
         else:
-            parts.append(_labelled(check.counted(tables), [check], [("n_total", "n_failed")]))
+            counts.append(_per_check(check.counted(tables), [check.name], ["n_total", "n_failed"]))
     for name, group in by_table.items():
         table = tables[name]
-        parts.append(_summary(table, group, [c.aggregates(table) for c in group]))
+        counts.append(_counts(table, group, [c.aggregates(table) for c in group]))
     for (name, keys), group in by_key.items():
         per_key, aggregates = _shared_grouping(tables[name], keys, group)
-        parts.append(_summary(per_key, group, aggregates))
-    return reduce(DataFrame.unionByName, parts).select(*RESULT_COLUMNS)
+        counts.append(_counts(per_key, group, aggregates))
+    return _with_verdicts(reduce(DataFrame.unionAll, counts), checks)
+
+
+def _with_verdicts(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Join the counts with what is known of each check, and judge them."""
+    labels = [
+        (
+            check.name, check.layer, check.kind, check.dimension, check.limits.severity,
+            check.limits.warn_above, check.limits.error_above, check.limits.error_share,
+        )
+        for check in checks
+    ]
+    n_total, n_failed = F.col("n_total"), F.col("n_failed")
+    # Exact: as a binary fraction a share such as 1 - 0.8 would move the limit.
+    over_share = n_failed > n_total.cast("decimal(20,0)") * F.col("error_share")
+    share = F.when(n_total > 0, F.round(n_failed * F.lit(100.0) / n_total, 3)).otherwise(0.0)
+    verdict = (
+        F.when(over_share | (n_failed > F.col("error_above")), "error")
+        .when(n_failed > F.col("warn_above"), "warn")
+        .otherwise("pass")
+    )
+    return (
+        counts.join(in_plan_table(counts.sparkSession, labels, _LABELS), "check")
+        .withColumns({"pct_failed": share, "verdict": verdict})
+        .select(*RESULT_COLUMNS)
+    )
 
 
 def _shared_grouping(
@@ -413,42 +441,22 @@ def _per_key(table: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Col
     return table.groupBy(*keys).agg(*[agg.alias(alias) for alias, agg in aggregates.items()])
 
 
-def _summary(
+def _counts(
     df: DataFrame, group: Sequence[Check], aggregates: Sequence[tuple[Column, Column]]
 ) -> DataFrame:
-    names = [(f"total_{i}", f"failed_{i}") for i in range(len(group))]
-    wide = df.agg(
-        *[
-            column.cast("bigint").alias(name)
-            for pair, pair_names in zip(aggregates, names, strict=True)
-            for column, name in zip(pair, pair_names, strict=True)
-        ]
-    )
-    return _labelled(wide, group, names)
+    """All counts of a group from one aggregation, as a row per check."""
+    names = [f"{part}_{i}" for i in range(len(group)) for part in ("total", "failed")]
+    columns = [column for pair in aggregates for column in pair]
+    wide = df.agg(*[column.alias(name) for column, name in zip(columns, names, strict=True)])
+    return _per_check(wide, [check.name for check in group], names)
 
 
-def _labelled(
-    wide: DataFrame, group: Sequence[Check], names: Sequence[tuple[str, str]]
-) -> DataFrame:
-    """Turn the one wide row into a row per check."""
-    entries = []
-    for check, (total, failed) in zip(group, names, strict=True):
-        n_total, n_failed = F.col(total).cast("bigint"), F.col(failed).cast("bigint")
-        share = F.when(n_total > 0, F.round(n_failed * F.lit(100.0) / n_total, 3)).otherwise(0.0)
-        entries.append(
-            F.struct(
-                F.lit(check.name).alias("check"),
-                F.lit(check.layer).alias("layer"),
-                F.lit(check.kind).alias("kind"),
-                F.lit(check.dimension).alias("dimension"),
-                F.lit(check.limits.severity).alias("severity"),
-                n_total.alias("n_total"),
-                n_failed.alias("n_failed"),
-                share.alias("pct_failed"),
-                check.limits.verdict(n_total, n_failed).alias("verdict"),
-            )
-        )
-    return wide.select(F.inline(F.array(*entries)))
+def _per_check(wide: DataFrame, checks: Sequence[str], names: Sequence[str]) -> DataFrame:
+    cells = ", ".join(
+        f"'{check}', bigint(`{total}`), bigint(`{failed}`)"
+        for check, total, failed in zip(checks, names[::2], names[1::2], strict=True)
+    )
+    return wide.selectExpr(f"stack({len(checks)}, {cells}) AS (check, n_total, n_failed)")
 
 
 class GateFailed(RuntimeError):
