@@ -21,6 +21,7 @@ KEY_NULL = "_dbt_utils_surrogate_key_null_"
 # factor the result is exactly DECIMAL(38,21), so nothing is rounded.
 AMOUNT = T.DecimalType(33, 18)
 CONVERTED = T.DecimalType(38, 21)
+AMOUNT_LIMIT = 1e15  # what has more than 15 whole digits does not fit
 
 
 def to_amount(column: Column | str) -> Column:

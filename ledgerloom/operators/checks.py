@@ -75,6 +75,15 @@ class Check:
     def named(self, name: str) -> Check:
         return replace(self, name=name)
 
+    @property
+    def shares(self) -> tuple:
+        """Checks with the same value are counted in one pass."""
+        raise NotImplementedError
+
+    def counted_with(self, group: Sequence, tables: Tables) -> tuple[DataFrame, list]:
+        """What the pass aggregates, and total and failures of every check as aggregates of it."""
+        raise NotImplementedError
+
     def failing(self, tables: Tables) -> DataFrame:
         """The rows to keep for inspection."""
         raise NotImplementedError
@@ -89,6 +98,14 @@ class RowCheck(Check):
     failed: Column | None = None
     bad_values_of: str | None = None
 
+    @property
+    def shares(self) -> tuple:
+        return ("rows", self.table)
+
+    def counted_with(self, group: Sequence[RowCheck], tables: Tables) -> tuple[DataFrame, list]:
+        table = tables[self.table]
+        return table, [check.aggregates(table) for check in group]
+
     def aggregates(self, table: DataFrame) -> tuple[Column, Column]:
         return self.total, self.failed if self.failed is not None else F.count_if(self.bad)
 
@@ -130,6 +147,24 @@ class KeyCheck(Check):
     bad: Column
     failed: Column | None = None
 
+    @property
+    def shares(self) -> tuple:
+        return ("key", self.table, self.keys)
+
+    def counted_with(self, group: Sequence[KeyCheck], tables: Tables) -> tuple[DataFrame, list]:
+        """Group once by the key with the aggregates of every check.
+
+        These are NULL or zero on rows outside a check's own ``rows``, so a
+        filter can be put in front only if every check has one. Equal names
+        stand for equal aggregates.
+        """
+        table = tables[self.table]
+        scopes = [check.rows for check in group]
+        if all(scope is not None for scope in scopes):
+            table = table.where(reduce(lambda a, b: a | b, scopes))
+        merged = {alias: agg for check in group for alias, agg in check.per_key.items()}
+        return _per_key(table, self.keys, merged), [check.aggregates() for check in group]
+
     def aggregates(self) -> tuple[Column, Column]:
         return self.total, self.failed if self.failed is not None else F.count_if(self.bad)
 
@@ -154,21 +189,24 @@ class ParentCheck(Check):
             child, tables[self.parent], self.key, self.parent_key, self.null_is_orphan
         )
 
-    def counted(self, tables: Tables) -> DataFrame:
-        child = tables[self.table]
-        if not self.null_is_orphan:
-            child = child.where(F.col(self.key).isNotNull())
-        values = child.groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
-        known = (
-            tables[self.parent]
-            .select(F.col(self.parent_key).alias(self.key), F.lit(True).alias("known"))
-            .distinct()
-        )
-        n_failed = F.sum(F.when(F.col("known").isNull(), F.col("n")))
-        return values.join(known, self.key, "left").agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_total"),
-            F.coalesce(n_failed, F.lit(0)).alias("n_failed"),
-        )
+    @property
+    def shares(self) -> tuple:
+        return ("parent", self.table, self.key, self.parent, self.parent_key)
+
+    def counted_with(self, group: Sequence[ParentCheck], tables: Tables) -> tuple[DataFrame, list]:
+        return self.keyed(tables), [check.aggregates() for check in group]
+
+    def aggregates(self) -> tuple[Column, Column]:
+        counted = F.lit(True) if self.null_is_orphan else F.col(self.key).isNotNull()
+        n = F.when(counted, F.col("n"))
+        orphans = F.when(F.col("known").isNull(), n)
+        return F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.sum(orphans), F.lit(0))
+
+    def keyed(self, tables: Tables) -> DataFrame:
+        """Each key value with its number of rows, and whether the parent knows it."""
+        values = tables[self.table].groupBy(self.key).agg(F.count(F.lit(1)).alias("n"))
+        parent = tables[self.parent].select(F.col(self.parent_key).alias(self.key))
+        return values.join(parent.distinct().withColumn("known", F.lit(True)), self.key, "left")
 
 
 # --- kinds of checks ---------------------------------------------------------
@@ -248,8 +286,7 @@ def row_count_between(layer: str, table: str, low: int, high: int) -> Check:
 def not_dropped(layer: str, table: str, previous_count: Column, ratio: str) -> Check:
     """At least ``ratio`` times the rows of the load before; passes if there was none."""
     n = F.count(F.lit(1)).cast("decimal(20,0)")
-    # The earlier count is one value, but an aggregation needs it as an aggregate.
-    before = F.coalesce(F.max(previous_count), F.lit(0)).cast("decimal(20,0)")
+    before = F.coalesce(previous_count, F.lit(0)).cast("decimal(20,0)")
     return RowCheck(
         f"not_dropped_{table}", layer, table, "not_dropped", "consistency",
         failed=F.when((before > 0) & (n < before * F.lit(Decimal(ratio))), 1).otherwise(0),
@@ -325,15 +362,16 @@ def component_sum_at_most(
     chosen = F.col(name).isin(*components)
     # One flag per component adds up to the distinct count and combines before the shuffle.
     present = [F.max(F.when(F.col(name) == c, 1).otherwise(0)) for c in components]
-    complete = F.col("n_present") == len(components)
+    total, n_present = (f"{part}_{'_'.join(components)}" for part in (amount, "n"))
+    complete = F.col(n_present) == len(components)
     return KeyCheck(
         f"component_sum_{table}_{amount}", layer, table, "component_sum", "consistency", limits,
         keys=(key,),
         per_key={
-            "component_sum": F.sum(F.when(chosen, F.col(amount))),
-            "n_present": reduce(lambda a, b: a + b, present),
+            total: F.sum(F.when(chosen, F.col(amount))),
+            n_present: reduce(lambda a, b: a + b, present),
         },
-        rows=chosen, total=F.count_if(complete), bad=complete & (F.col("component_sum") > bound),
+        rows=chosen, total=F.count_if(complete), bad=complete & (F.col(total) > bound),
     )
 
 
@@ -351,16 +389,16 @@ def ratio_consistent(
     limits: Limits,
 ) -> Check:
     """Keys where ``whole`` is not ``part`` times ``ratio`` within the tolerance."""
-    both = F.col("whole").isNotNull() & F.col("part").isNotNull()
+    both = F.col(whole).isNotNull() & F.col(part).isNotNull()
     return KeyCheck(
         f"ratio_{table}_{whole}_{part}", layer, table, "ratio", "consistency", limits,
         keys=(key,),
         per_key={
-            "whole": F.max(F.when(F.col(name) == whole, F.col(amount))),
-            "part": F.max(F.when(F.col(name) == part, F.col(amount))),
+            whole: F.max(F.when(F.col(name) == whole, F.col(amount))),
+            part: F.max(F.when(F.col(name) == part, F.col(amount))),
         },
         rows=F.col(name).isin(whole, part), total=F.count_if(both),
-        bad=both & outside_tolerance("whole", "part", ratio, relative, absolute),
+        bad=both & outside_tolerance(whole, part, ratio, relative, absolute),
     )
 
 
@@ -378,22 +416,13 @@ def relationship(
 
 def evaluate(checks: Sequence[Check], tables: Tables) -> DataFrame:
     """One row per check: total, failures, percentage and verdict."""
-    by_table: dict[str, list[RowCheck]] = {}
-    by_key: dict[tuple, list[KeyCheck]] = {}
-    counts: list[DataFrame] = []
+    groups: dict[tuple, list[Check]] = {}
     for check in checks:
-        if isinstance(check, RowCheck):
-            by_table.setdefault(check.table, []).append(check)
-        elif isinstance(check, KeyCheck):
-            by_key.setdefault((check.table, check.keys), []).append(check)
-        else:
-            counts.append(_per_check(check.counted(tables), [check.name], ["n_total", "n_failed"]))
-    for name, group in by_table.items():
-        table = tables[name]
-        counts.append(_counts(table, group, [c.aggregates(table) for c in group]))
-    for (name, keys), group in by_key.items():
-        per_key, aggregates = _shared_grouping(tables[name], keys, group)
-        counts.append(_counts(per_key, group, aggregates))
+        groups.setdefault(check.shares, []).append(check)
+    counts = []
+    for group in groups.values():
+        df, aggregates = group[0].counted_with(group, tables)
+        counts.append(_counts(df, group, aggregates))
     return _with_verdicts(reduce(DataFrame.unionAll, counts), checks)
 
 
@@ -422,21 +451,6 @@ def _with_verdicts(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
-def _shared_grouping(
-    table: DataFrame, keys: tuple[str, ...], group: Sequence[KeyCheck]
-) -> tuple[DataFrame, list[tuple[Column, Column]]]:
-    """Group once by the key with the aggregates of every check.
-
-    Aggregates of the checks are NULL or zero on rows outside their ``rows``, so
-    only a filter that all of them allow can be put in front.
-    """
-    scopes = [c.rows for c in group]
-    if all(s is not None for s in scopes):
-        table = table.where(reduce(lambda a, b: a | b, scopes))
-    merged = {alias: agg for c in group for alias, agg in c.per_key.items()}
-    return _per_key(table, keys, merged), [c.aggregates() for c in group]
-
-
 def _per_key(table: DataFrame, keys: Sequence[str], aggregates: Mapping[str, Column]) -> DataFrame:
     return table.groupBy(*keys).agg(*[agg.alias(alias) for alias, agg in aggregates.items()])
 
@@ -448,15 +462,10 @@ def _counts(
     names = [f"{part}_{i}" for i in range(len(group)) for part in ("total", "failed")]
     columns = [column for pair in aggregates for column in pair]
     wide = df.agg(*[column.alias(name) for column, name in zip(columns, names, strict=True)])
-    return _per_check(wide, [check.name for check in group], names)
-
-
-def _per_check(wide: DataFrame, checks: Sequence[str], names: Sequence[str]) -> DataFrame:
     cells = ", ".join(
-        f"'{check}', bigint(`{total}`), bigint(`{failed}`)"
-        for check, total, failed in zip(checks, names[::2], names[1::2], strict=True)
+        f"'{check.name}', bigint(total_{i}), bigint(failed_{i})" for i, check in enumerate(group)
     )
-    return wide.selectExpr(f"stack({len(checks)}, {cells}) AS (check, n_total, n_failed)")
+    return wide.selectExpr(f"stack({len(group)}, {cells}) AS (check, n_total, n_failed)")
 
 
 class GateFailed(RuntimeError):

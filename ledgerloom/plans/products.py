@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.measures import (
+    AMOUNT_LIMIT,
     energy_in_kj,
     epoch_to_timestamp,
     nutrition_basis,
@@ -65,16 +66,24 @@ def stg_products(raw: DataFrame) -> DataFrame:
     )
 
 
-def _measures(df: DataFrame, *keep: str) -> DataFrame:
-    """Entries of ``nutriments`` that hold an amount in a mass or energy unit."""
+def _measures(df: DataFrame, *keep: str, lowest: float | None = None) -> DataFrame:
+    """Entries of ``nutriments`` that hold an amount in a mass or energy unit.
+
+    Whether an amount is usable is decided on the number as it came, so the
+    exact decimal is made once, and only for the entries that stay.
+    """
     entry = F.col("entry")
-    entries = df.select(*keep, F.explode("nutriments").alias("entry"))
+    number = entry["100g"].try_cast("double")
+    usable = (F.abs(number) < AMOUNT_LIMIT) & F.lower(entry["unit"]).isin(*MEASURE_UNITS)
+    if lowest is not None:
+        usable = usable & (number >= lowest)
+    entries = df.select(*keep, F.explode("nutriments").alias("entry")).where(usable)
     return entries.select(
         *keep,
         entry["name"].alias("nutrient"),
         to_amount(entry["100g"]).alias("value_per_100"),
         unit_label(entry["unit"]).alias("unit"),
-    ).where(F.col("value_per_100").isNotNull() & F.lower("unit").isin(*MEASURE_UNITS))
+    )
 
 
 def stg_product_nutrients(products: DataFrame) -> DataFrame:
@@ -171,11 +180,10 @@ def fct_nutrition(keyed: DataFrame, seeds: Seeds) -> DataFrame:
     )
     measures = _measures(
         keyed.withColumnRenamed("nutrition_basis", "basis"),
-        "product_key", "basis", "category_key", "brand_key",
+        "product_key", "basis", "category_key", "brand_key", lowest=0.0,
     )
     return (
-        measures.where(F.col("value_per_100") >= 0)
-        .withColumn("nutrient_key", F.lower("nutrient"))
+        measures.withColumn("nutrient_key", F.lower("nutrient"))
         .join(reference, "nutrient_key")
         .select(
             "product_key",

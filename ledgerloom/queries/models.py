@@ -130,14 +130,14 @@ class Models:
         """Every table by name. What several checks read is written once, as in the daily build."""
         seeds = self.seeds
         stg = materialise(self.stg_products, "stg_products")
-        keyed = materialise(p.products_with_keys(stg, seeds), "products_with_keys")
+        keyed = p.products_with_keys(stg, seeds)
         return {
             "stg_products": stg,
             "stg_product_nutrients": p.stg_product_nutrients(stg),
             "int_products_categorised": p.int_products_categorised(stg, seeds),
             "dim_category": p.dim_category(seeds),
             "dim_brand": materialise(p.dim_brand(stg), "dim_brand"),
-            "dim_product": p.dim_product(keyed),
+            "dim_product": materialise(p.dim_product(keyed), "dim_product"),
             "fct_nutrition": materialise(p.fct_nutrition(keyed, seeds), "fct_nutrition"),
             "category_taxonomy": seeds.category_taxonomy,
             "category_mapping": seeds.category_mapping,

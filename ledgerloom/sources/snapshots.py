@@ -41,7 +41,9 @@ def replace_partition(
     """Make ``df`` the whole content of one partition; a second run changes nothing.
 
     The partition is named in the statement: that clears it even when ``df`` is
-    empty, where a dynamic overwrite would leave the old rows.
+    empty, where a dynamic overwrite would leave the old rows. Rows are evened
+    out first, since a selective extract leaves a sliver in each of its tasks
+    and would store one tiny file per task.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -60,7 +62,7 @@ def replace_partition(
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = DATE'{load_date.isoformat()}') "
         "SELECT * FROM {load}",
-        load=df.select(*columns),
+        load=df.select(*columns).hint("rebalance"),
     )
 
 
