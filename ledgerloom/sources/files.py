@@ -8,14 +8,20 @@ from pyspark.sql import types as T
 from ledgerloom.functions.nested import nested_columns, with_json_text, with_parsed_json
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed CSV: an empty cell is NULL, nested columns are cells of JSON text."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True
+) -> DataFrame:
+    """Typed CSV: an empty cell is NULL, nested columns are cells of JSON text.
+
+    Cells may hold line breaks, which makes Spark read each file in one task.
+    Say that they do not to have large files split.
+    """
     nested = set(nested_columns(schema))
     flat = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in nested else f.dataType) for f in schema]
     )
     cells = spark.read.csv(
-        path, schema=flat, header=True, nullValue="", quote='"', escape='"', multiLine=True
+        path, schema=flat, header=True, nullValue="", quote='"', escape='"', multiLine=line_breaks
     )
     return with_parsed_json(cells, schema)
 

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(root / "warehouse"),
             "spark.checkpoint.dir": str(root / "shared"),
             "spark.ui.showConsoleProgress": "false",
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -78,9 +78,16 @@ def test_choosing_loads(spark, table):
 
 def test_latest_load_is_a_partition_filter(spark, table):
     replace_partition(raw(spark, SYNTHETIC, DAY1), table, DAY1)
-    plan = latest_partition(spark.table(table)).select("barcode")._jdf.queryExecution().toString()
-    scan = next(line for line in plan.splitlines() if "FileScan" in line or "PartitionFilters" in line)
-    assert "PartitionFilters: [isnotnull(load_date" in scan and "ubquery" in scan
+
+    def scan(df):
+        plan = df.select("barcode")._jdf.queryExecution().executedPlan().toString()
+        return next(line for line in plan.splitlines() if "FileScan" in line)
+
+    latest = scan(latest_partition(spark.table(table)))
+    assert "PartitionFilters: [isnotnull(load_date" in latest and "ubquery" in latest
+    named = scan(chosen_partition(conform_to_raw(spark.table(table)), DAY1))
+    assert "PartitionFilters: [isnotnull(load_date" in named and "= 2024-01-01" in named
+    assert "ReadSchema: struct<barcode:string>" in named
 
 
 def test_csv_round_trip_keeps_nested_values_and_leading_zeros(spark):
