@@ -107,7 +107,8 @@ fct_nutrition AS (
 
 
 def model_sql(select: str) -> str:
-    return f"WITH {MODEL_SQL.rstrip()}{select}" if select.startswith(",") else f"WITH {MODEL_SQL}{select}"
+    """``select`` over the datasets; one that begins with a comma adds tables of its own."""
+    return f"WITH {MODEL_SQL}{select}"
 
 
 def as_double(column: str) -> Column:

@@ -212,6 +212,17 @@ def dq_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.evaluate(checks, {"today": chosen_partition(days, LAST_DAY)})
 
 
+@query("""
+SELECT count(*) AS n_total, CAST(1 AS BIGINT) AS n_failed FROM events
+HAVING max(ts) < TIMESTAMP '2024-02-01 03:00:00' - INTERVAL 26 HOURS
+""")
+def stale_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row if the newest event is too old, else none."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    stale = c.fresh(LAYER, "events", "ts", AS_OF, 26).failing({"events": events})
+    return stale.withColumn("n_failed", F.col("n_failed").cast("bigint"))
+
+
 @query(sql.line("matches_documents_text", LAYER, "matches", "validity", "documents", "count(text)",
                 "count(*) FILTER (NOT regexp_matches(text, '[0-9]{3}'))", **sql.share_limit("0.50")))
 def dq_matches(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,7 +77,11 @@ def test_range_applies_to_its_scope_only(spark):
 
 def test_freshness(spark):
     as_of = dt.datetime(2024, 1, 3, 8, tzinfo=dt.timezone.utc)
-    times = {"2024-01-02 06:00:00": (0, "pass"), "2024-01-02 05:59:59": (1, "warn"), "2024-01-01 07:59:59": (2, "error")}
+    times = {
+        "2024-01-02 06:00:00": (0, "pass"),
+        "2024-01-02 05:59:59": (1, "warn"),
+        "2024-01-01 07:59:59": (2, "error"),
+    }
     for time, expected in times.items():
         df = values(spark, ["2023-01-01 00:00:00", time]).select(F.col("x").cast("timestamp"))
         assert one(c.fresh("l", "t", "x", as_of, 48, 26), df)[1:] == expected
