@@ -480,18 +480,19 @@ def gate(results: Sequence) -> None:
         raise GateFailed(f"{len(failed)} of {len(results)} checks failed: {listed}")
 
 
-def write_audit(checks: Sequence[Check], tables: Tables, results: Sequence, root: str) -> list[str]:
-    """Keep the failing rows of every check that has any, whatever its severity.
+def write_audit(
+    checks: Sequence[Check], tables: Tables, results: Sequence, path_of: Callable[[str], str]
+) -> dict[str, str]:
+    """Keep the failing rows of every check that has any, whatever its severity; path by check.
 
     Checks without failures are in the results already and cost no job here.
     """
     failed = {r.check for r in results if r.n_failed > 0}
-    paths = []
+    paths = {}
     for check in checks:
         if check.name in failed:
-            path = f"{root.rstrip('/')}/{check.name}"
-            check.failing(tables).write.mode("overwrite").parquet(path)
-            paths.append(path)
+            paths[check.name] = path_of(check.name)
+            check.failing(tables).write.parquet(paths[check.name])
     return paths
 
 

@@ -26,10 +26,10 @@ RAW_TABLE = "raw.products"
 
 @dataclass(frozen=True)
 class Build:
-    """What one build produced: the check results, the audit paths and the tables."""
+    """What one build produced: the check results, paths of failing rows by check, the tables."""
 
     results: list
-    audit_paths: list[str]
+    audit: dict[str, str]
     tables: dict[str, DataFrame]
 
 
@@ -105,13 +105,16 @@ def build(
     # One row per check comes back.
     results = c.evaluate([*model_checks, *other_checks], flagged).collect()
     # The contract repeats rules of the models, so its failing rows are in the audit already.
-    audit_paths = c.write_audit(model_checks, flagged, results, f"{root.rstrip('/')}/audit")
+    audit = c.write_audit(
+        model_checks, flagged, results, lambda name: layers.new_version(root, "audit", name)
+    )
+    layers.replace_audit(spark, [check.name for check in model_checks], audit)
     c.gate(results)
     for name, (_, path) in versions.items():
         layers.publish(spark, "marts", name, path)
     for name in ("stg_products", "stg_product_nutrients", "int_products_categorised"):
         layers.save_view(tables[name], name)
-    return Build(results, audit_paths, tables)
+    return Build(results, audit, tables)
 
 
 def run(

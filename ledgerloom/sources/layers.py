@@ -39,10 +39,14 @@ def save_view(df: DataFrame, name: str) -> DataFrame:
 
 def write_version(df: DataFrame, root: str, layer: str, name: str) -> tuple[DataFrame, str]:
     """Write a new version of a table next to the published one, without touching that."""
-    path = f"{root.rstrip('/')}/{layer}/{name}/version={uuid.uuid4().hex}"
+    path = new_version(root, layer, name)
     return write_complete(df, path), path
 
 
+def new_version(root: str, layer: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{layer}/{name}/version={uuid.uuid4().hex}"
+
+
 def publish(spark: SparkSession, layer: str, name: str, path: str) -> DataFrame:
     """Point the catalogue table at a finished version.
 
@@ -63,5 +67,13 @@ def publish(spark: SparkSession, layer: str, name: str, path: str) -> DataFrame:
     return spark.table(f"{layer}.{name}")
 
 
+def replace_audit(spark: SparkSession, checks: list[str], paths: dict[str, str]) -> None:
+    """One audit table per check that has failing rows; tables of an earlier run go away."""
+    for name in checks:
+        spark.sql(f"DROP TABLE IF EXISTS audit.{name}")
+        if name in paths:
+            spark.sql(f"CREATE TABLE audit.{name} USING parquet LOCATION '{paths[name]}'")
+
+
 def _comment(text: str | None) -> str:
     return " COMMENT '" + text.replace("'", "\\'") + "'" if text else ""

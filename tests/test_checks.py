@@ -170,9 +170,9 @@ def test_audit_keeps_failing_rows_only_where_there_are_any(spark, tables):
     checks = suites.model_checks()
     results = c.evaluate(checks, tables).collect()
     root = scratch_path(spark, "audit")
-    paths = c.write_audit(checks, tables, results, root)
+    paths = c.write_audit(checks, tables, results, lambda name: f"{root}/{name}")
     assert len(paths) == 5
-    (row_,) = spark.read.parquet(f"{root}/ratio_fct_nutrition_salt_sodium").collect()
+    (row_,) = spark.read.parquet(paths["ratio_fct_nutrition_salt_sodium"]).collect()
     assert (row_.product_key, row_.salt, row_.sodium) == ("9999960005", 5, 0.5)
     ratio = next(check for check in checks if check.kind == "ratio")
     assert c.sample_failures(ratio, tables, 10).count() == 1

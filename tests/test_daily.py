@@ -7,6 +7,7 @@ from fixture_rows import AS_OF, LOAD_DATE, LOADED_AT, SYNTHETIC, row, source
 
 from ledgerloom.operators.checks import GateFailed
 from ledgerloom.plans import daily
+from ledgerloom.schemas import FACT
 from ledgerloom.session import scratch_path
 
 MARTS = {"dim_product": 17, "dim_brand": 4, "dim_category": 48, "fct_nutrition": 100}
@@ -27,7 +28,9 @@ def test_build_publishes_and_can_be_run_again(spark, root):
     first = daily.build(spark, root, AS_OF)
     assert sizes(spark) == MARTS
     assert len(first.results) == 1 + 1 + 43 + 14
-    assert len(first.audit_paths) == 5
+    assert len(first.audit) == 5
+    assert spark.table("audit.ratio_fct_nutrition_salt_sodium").count() == 1
+    assert spark.table("marts.fct_nutrition").schema.names == FACT.names
     comments = {r.col_name: r.comment for r in spark.sql("DESCRIBE marts.fct_nutrition").collect()}
     assert comments["basis"] == "100g or 100ml."
     assert spark.table("int_products_categorised").count() == 17
@@ -58,5 +61,6 @@ def test_failing_checks_leave_the_published_tables_alone(spark, root):
     with pytest.raises(GateFailed, match="unique_fct_nutrition_product_key_nutrient"):
         daily.build(spark, root, AS_OF)
     assert sizes(spark) == MARTS
-    kept = spark.read.parquet(f"{root}/audit/unique_stg_product_nutrients_barcode_nutrient")
+    kept = spark.table("audit.unique_stg_product_nutrients_barcode_nutrient")
     assert kept.collect() == [("10000001", "fat", 2)]
+    assert not spark.catalog.tableExists("audit.ratio_fct_nutrition_salt_sodium")  # no longer fails
