@@ -28,8 +28,9 @@ from ledgerloom.llm.common import chunks, empty, fresh, utf8
 from ledgerloom.llm.graph import components
 from ledgerloom.session import materialise
 
-#: Fingerprints below a node of the level at which the task-side join starts, on average.
-CELL = 1 << 14
+#: Fingerprints below a node of the level at which the task-side join starts, on average; and the
+#: least such level, so that a small input too gives work units for every core.
+CELL, LEAST_DEPTH = 1 << 14, 4
 #: Product of both sides above which a node pair goes down further before a task takes it.
 UNIT_PAIRS = 1 << 31
 #: Levels that such a pair goes down at once.
@@ -84,7 +85,7 @@ def _prefix(depth: int, column: str = "fp") -> Column:
 
 def _node_pairs(fps: DataFrame, n: int, most: int) -> Iterator[tuple[int, DataFrame]]:
     """Work units (p, q) by depth: pairs of trie nodes, p <= q, differing in at most ``most`` bits."""
-    depth = min(64 - STEP, max(0, (max(n, 1) // CELL).bit_length()))
+    depth = min(64 - STEP, max(LEAST_DEPTH, (n // CELL).bit_length()))
 
     def nodes(depth: int) -> DataFrame:
         return fps.groupBy(_prefix(depth).alias("node")).agg(F.count(F.lit(1)).alias("n"))
