@@ -23,65 +23,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLES = 64
-#: (term, count) pairs worked on at once, and bytes of text.
-PAIRS, BYTES = 1 << 15, 4 << 20
+#: (term, count) pairs whose ranks are kept at once and worked on at once, and characters of text.
+PAIRS, BLOCK, BYTES = 1 << 18, 1 << 12, 4 << 20
 #: Ranges of ids that documents are dealt into to find each one's next.
 RANGES = 256
 _U = np.uint64
 
 
-def _uniform(keys: np.ndarray, position: np.ndarray, salt: int) -> np.ndarray:
-    """In (0, 1) for each key and position."""
-    step = (position.astype(np.uint64) * _U(5) + _U(salt)) * _U(0x9E3779B97F4A7C15)
+def _hashes(keys: np.ndarray, samples: int, salt: int) -> np.ndarray:
+    step = (np.arange(samples, dtype=np.uint64) * _U(3) + _U(salt)) * _U(0x9E3779B97F4A7C15)
     h = keys[:, None] + step[None, :]
     h = (h ^ (h >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> _U(27))) * _U(0x94D049BB133111EB)
-    h ^= h >> _U(31)
-    return ((h >> _U(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return h ^ (h >> _U(31))
+
+
+def _gamma(h: np.ndarray) -> np.ndarray:
+    """Gamma(2, 1): minus the logarithm of the product of two uniform numbers, a half of h each."""
+    first, second = (h >> _U(32)) + 0.5, (h & _U(0xFFFFFFFF)) + 0.5
+    return 64 * np.log(2) - np.log(first * second)
 
 
 def _ranks(keys: np.ndarray, weights: np.ndarray, samples: int) -> np.ndarray:
     """ln of the rank of each weighted term at each position; equal only for equal samples."""
-    at = np.arange(samples)
-    r = -np.log(_uniform(keys, at, 0) * _uniform(keys, at, 1))
-    c = -np.log(_uniform(keys, at, 2) * _uniform(keys, at, 3))
-    beta = _uniform(keys, at, 4)
-    t = np.floor(np.log(weights)[:, None] / r + beta)
-    return np.log(c) - r * (t - beta + 1)
+    out = np.empty((len(keys), samples), np.float32)
+    for i in range(0, len(keys), BLOCK):
+        part, weight = keys[i : i + BLOCK], np.log(weights[i : i + BLOCK])[:, None]
+        r = _gamma(_hashes(part, samples, 0))
+        beta = (_hashes(part, samples, 1) >> _U(11)) * 2.0**-53
+        t = np.floor(weight / r + beta)
+        out[i : i + BLOCK] = np.log(_gamma(_hashes(part, samples, 2))) - r * (t - beta + 1)
+    return out
 
 
 def signatures(texts: list[str], samples: int = SAMPLES) -> np.ndarray:
     """A row of 16-bit samples for each text; zeros for one without terms."""
     keys: dict[str, int] = {}
-    rows, codes = [], []
+    sizes, codes = [], []
     for text in texts:
         found = text.lower().split()
         codes.append(np.fromiter((keys.setdefault(w, len(keys)) for w in found), np.int64, len(found)))
-        rows.append(len(found))
+        sizes.append(len(found))
     out = np.zeros((len(texts), samples), np.uint16)
     if not keys:
         return out
     hashed = np.fromiter((xxhash.xxh3_64_intdigest(k, 1) for k in keys), np.uint64, len(keys))
-    owner = np.repeat(np.arange(len(texts)), rows)
+    owner = np.repeat(np.arange(len(texts)), sizes)
     pairs, counts = np.unique(owner * len(keys) + np.concatenate(codes), return_counts=True)
     owner, term = np.divmod(pairs, len(keys))
-    # Pieces end with a text, or within one of more pairs, whose pieces are then put together.
-    least = np.full((len(texts), samples), np.inf)
-    ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(owner))
-    i = 0
-    while i < len(owner):
-        fit = np.searchsorted(ends, i + PAIRS, "right") - 1
-        j = int(ends[fit]) if fit >= 0 and ends[fit] > i else min(i + PAIRS, len(owner))
-        kinds, inverse = np.unique(counts[i:j] * len(keys) + term[i:j], return_inverse=True)
+    least = np.full((len(texts), samples), np.inf, np.float32)
+    for i in range(0, len(owner), PAIRS):
+        kinds, kind = np.unique(counts[i : i + PAIRS] * len(keys) + term[i : i + PAIRS], return_inverse=True)
         weight, name = np.divmod(kinds, len(keys))
-        ranks = _ranks(hashed[name], weight.astype(np.float64), samples)[inverse]
-        first = np.append(0, np.flatnonzero(np.diff(owner[i:j])) + 1)
-        some = owner[i:j][first]
-        least[some] = np.minimum(least[some], np.minimum.reduceat(ranks, first, axis=0))
-        i = j
-    bits = least.view(np.uint64)
-    bits = (bits ^ (bits >> _U(29))) * _U(0xBF58476D1CE4E5B9)
-    full = np.isin(np.arange(len(texts)), owner)
+        ranks = _ranks(hashed[name], weight.astype(np.float64), samples)
+        for j in range(0, len(kind), BLOCK):
+            of = owner[i + j : i + min(j + BLOCK, len(kind))]
+            first = np.append(0, np.flatnonzero(np.diff(of)) + 1)
+            some = np.minimum.reduceat(ranks[kind[j : j + BLOCK]], first, axis=0)
+            least[of[first]] = np.minimum(least[of[first]], some)
+    bits = least.view(np.uint32).astype(np.uint64)
+    bits = (bits ^ (bits >> _U(15))) * _U(0xBF58476D1CE4E5B9)
+    full = np.array(sizes) > 0
     out[full] = (bits[full] >> _U(48)).astype(np.uint16) | np.uint16(1)
     return out
 
@@ -110,8 +112,11 @@ def _pairs(samples: int):
     def rows(held: list[tuple]) -> pa.RecordBatch:
         texts = [t for _, _, t in held]
         changed = [edited(a, b) for a, b in zip(texts[:-1], texts[1:], strict=True)]
-        own, new = signatures(texts, samples), signatures(changed, samples)
         n = len(changed)
+        # A text and its edited text share half of their terms, so they stand side by side.
+        both = [t for pair in zip(texts, [*changed, ""], strict=True) for t in pair]
+        found = signatures(both, samples)
+        own, new = found[::2], found[1:-1:2]
         columns = [
             pa.array([i for i, _, _ in held[:n]], pa.int64()),
             pa.array([len(t) for t in texts[:n]], pa.int64()),
