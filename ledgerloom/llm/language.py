@@ -5,8 +5,8 @@ hashed byte n-grams, predicts that bit. A text is decoded to the language whose
 smallest loss against all bit margins, bits weighted by how well they were learnt. A text is
 ambiguous if the second language is nearly as close.
 
-Training takes a bounded sample (``per_language`` rows of each language, ``most_rows`` in all, the
-ones with the smallest hashed ids); its n-gram counts, not its texts, reach the driver. Scoring
+Training takes a bounded sample (at most ``per_language`` rows of each language, ``most_rows`` in all,
+chosen by their hashed ids); its n-gram counts, not its texts, reach the driver. Scoring
 reads every whole text. Null texts and texts without a letter get ``und`` and score 0; so do all
 if no language was learnt. Repeated rows are scored alike.
 """
@@ -112,10 +112,16 @@ def _fit(x: np.ndarray, y: np.ndarray, l2: float = 1e-4, rounds: int = 300) -> t
 
 def train(docs: DataFrame, per_language: int = 500, most_rows: int = 4000) -> LanguageModel:
     """Learns from ``text`` and ``lang`` of a bounded sample of the given rows."""
-    ranked = Window.partitionBy("lang").orderBy("key", "text")
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").select(
         "lang", "text", F.xxhash64(F.col("doc_id").cast("string")).alias("key")
     )
+    # Twice the rows wanted of a language, by their hash, go on to be ranked, however many it has.
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang")
+    sizes = {r.lang: r.n for r in sizes.limit(most_rows).collect()}
+    if sizes:
+        n = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("lang")]
+        rows = rows.where(F.pmod("key", F.lit(1 << 30)) * n < 2 * per_language * (1 << 30))
+    ranked = Window.partitionBy("lang").orderBy("key", "text")
     rows = rows.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= per_language)
     rows = rows.orderBy("rank", "key", "lang").limit(most_rows)
 
