@@ -175,9 +175,14 @@ def train(
 ) -> ChainModel:
     """Learns from a bounded sample of the rows of ``docs`` that have a label 0 or 1."""
     labels = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(labels, "doc_id")
-    rows = rows.where(F.octet_length("text") <= most_bytes)
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(most_docs).select("text", "quality")
+    # Chosen among the labels by hash, twice as many as wanted at most, so no text is shuffled.
+    labels = labels.withColumn("key", F.xxhash64("doc_id"))
+    n = labels.count()
+    labels = labels.where(F.pmod("key", F.lit(1 << 30)) * n < 2 * most_docs * (1 << 30))
+    labels = labels.orderBy(F.pmod("key", F.lit(1 << 30)), "doc_id").limit(2 * most_docs)
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = rows.join(F.broadcast(labels), "doc_id").where(F.octet_length("text") <= most_bytes)
+    rows = rows.orderBy("key", "doc_id", "text").limit(most_docs).select("text", "quality")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
