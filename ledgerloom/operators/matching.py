@@ -34,8 +34,9 @@ def best_tag(
     a NULL key stay unmatched, as they would in a join on the key.
 
     With a mapping of checked small size each row is resolved on its own, without
-    any shuffle. Beyond the cap the tags are exploded and joined, the candidates
-    reduced per key before and after the shuffle, and the winners joined back.
+    any shuffle. Beyond the cap each distinct list of tags is resolved by a join, the candidates
+    reduced per list before and after the shuffle, and the winners joined back on the list. Both
+    ways give every row the winner of its own tags, so the cap changes the plan alone.
     """
     mapping = mapping.select(
         F.lower(tag).alias("tag"), F.col(target).alias("target"), F.col(priority).alias("priority")
@@ -80,19 +81,19 @@ def _constant_list(texts: list[str | None]) -> Column:
 
 
 def _best_tag_by_join(df: DataFrame, key: str, tags: str, mapping: DataFrame) -> DataFrame:
+    lists = df.where(F.col(key).isNotNull()).select(F.col(tags).alias("__tags")).distinct()
     candidates = (
-        df.where(F.col(key).isNotNull())
-        .select(F.col(key).alias("__key"), F.explode(tags).alias("tag"))
+        lists.select("__tags", F.explode("__tags").alias("tag"))
         .withColumn("tag", F.lower("tag"))
         .join(mapping, "tag")
     )
     # NULL priorities rank last, as they do in an ascending sort.
     rank = F.struct(F.col("priority").isNull().alias("no_priority"), "priority", "tag", "target")
-    winners = candidates.groupBy("__key").agg(F.min(rank).alias("best"))
+    winners = candidates.groupBy("__tags").agg(F.min(rank).alias("best"))
     return (
-        df.join(winners, F.col(key) == F.col("__key"), "left")
+        df.join(winners, (F.col(tags) == F.col("__tags")) & F.col(key).isNotNull(), "left")
         .withColumns({"matched_tag": F.col("best.tag"), "matched_target": F.col("best.target")})
-        .drop("__key", "best")
+        .drop("__tags", "best")
     )
 
 

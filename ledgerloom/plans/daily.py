@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,8 +49,11 @@ def check_load(
     spark: SparkSession, load_date: dt.date, as_of: dt.datetime, **options
 ) -> list:
     """Stop unless the load passes all raw checks. Run again it gives the same answer."""
-    raw = conform_to_raw(spark.table(RAW_TABLE))
-    checks, tables = suites.raw_gate(raw, load_date, as_of, **options)
+    stored = spark.table(RAW_TABLE)
+    checks, tables = suites.raw_gate(conform_to_raw(stored), load_date, as_of, **options)
+    # The conformed table has every column, so the stored one is asked for them.
+    checks = [replace(k, table="stored") if isinstance(k, c.ColumnsCheck) else k for k in checks]
+    tables["stored"] = stored
     results = c.evaluate(checks, tables).collect()  # one row per check
     c.gate(results)
     return results
@@ -90,9 +93,11 @@ def build(
     versions = {n: layers.write_version(df, root, "marts", n) for n, df in marts.items()}
 
     tables = {
-        "raw": one_load,
+        # Freshness is that of the whole source, so an older load can be built again.
+        "raw": chosen_partition(raw, newest_load_date(spark, RAW_TABLE)),
         "stg_products": staged,
         "stg_product_nutrients": p.stg_product_nutrients(staged),
+        "rejected_amounts": p.rejected_amounts(staged),
         "int_products_categorised": p.int_products_categorised(staged, seeds),
         "category_taxonomy": seeds.category_taxonomy,
         "category_mapping": seeds.category_mapping,
@@ -112,7 +117,7 @@ def build(
     c.gate(results)
     for name, (_, path) in versions.items():
         layers.publish(spark, "marts", name, path)
-    for name in ("stg_products", "stg_product_nutrients", "int_products_categorised"):
+    for name in ("stg_products", "stg_product_nutrients", "rejected_amounts", "int_products_categorised"):
         layers.save_view(tables[name], name)
     return Build(results, audit, tables)
 

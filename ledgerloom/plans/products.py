@@ -91,6 +91,22 @@ def stg_product_nutrients(products: DataFrame) -> DataFrame:
     return _measures(products, "barcode")
 
 
+def rejected_amounts(products: DataFrame) -> DataFrame:
+    """Entries in a measure unit whose amount staging can't carry, with the reason."""
+    entry = F.col("entry")
+    number = entry["100g"].try_cast("double")
+    reason = (
+        F.when(entry["100g"].isNull(), "missing")
+        .when(number.isNull() | F.isnan(number), "no number")
+        .when(F.abs(number) >= AMOUNT_LIMIT, "too large")
+    )
+    entries = products.select("barcode", F.explode("nutriments").alias("entry"))
+    return entries.where(F.lower(entry["unit"]).isin(*MEASURE_UNITS) & reason.isNotNull()).select(
+        "barcode", entry["name"].alias("nutrient"), entry["100g"].cast("string").alias("amount"),
+        entry["unit"].alias("unit"), reason.alias("reason"),
+    )
+
+
 def _with_category(products: DataFrame, seeds: Seeds) -> DataFrame:
     matched = best_tag(
         products, "barcode", "categories_tags", seeds.category_mapping,

@@ -62,46 +62,42 @@ stg_product_nutrients AS (
   FROM (SELECT barcode, unnest(nutriments) AS e FROM stg_products)
   WHERE e."100g" IS NOT NULL AND lower(e.unit) IN ('g', 'mg', 'kcal', 'kj')
 ),
-tag_ranks AS (
-  SELECT barcode, lower(x.tag) AS tag, m.category_l2,
-    row_number() OVER (PARTITION BY barcode ORDER BY m.priority, lower(x.tag)) AS rn
-  FROM (SELECT barcode, unnest(categories_tags) AS tag FROM stg_products) x
-  JOIN category_mapping m ON lower(x.tag) = lower(m.off_category_tag)
+winners AS (
+  SELECT s.barcode, list_sort(list({{'p': m.priority, 't': lower(m.off_category_tag), 'l2': m.category_l2}}))[1] AS best
+  FROM stg_products s, category_mapping m
+  WHERE list_contains(list_transform(s.categories_tags, lambda t: lower(t)), lower(m.off_category_tag))
+  GROUP BY s.barcode
 ),
-int_products_categorised AS (
-  SELECT s.barcode, r.tag AS matched_tag, coalesce(t.category_l2, 'other') AS category_l2,
+keyed AS (
+  SELECT s.*, {_LABEL} AS label, w.best.t AS matched_tag, coalesce(t.category_l2, 'other') AS category_l2,
     coalesce(t.category_l1, 'other') AS category_l1,
-    CASE WHEN s.categories_tags IS NULL OR len(s.categories_tags) = 0 THEN 'no_categories'
-      WHEN r.tag IS NOT NULL THEN 'mapped' ELSE 'unmapped' END AS mapping_status
-  FROM stg_products s LEFT JOIN (SELECT * FROM tag_ranks WHERE rn = 1) r ON s.barcode = r.barcode
-  LEFT JOIN category_taxonomy t ON r.category_l2 = t.category_l2
+    if(coalesce(len(s.categories_tags), 0) = 0, 'no_categories', if(w.best IS NULL, 'unmapped', 'mapped')) AS mapping_status,
+    if(nutrition_data_per IN ('100g', '100ml'), nutrition_data_per,
+      if(list_contains(['ml', 'cl', 'l'], lower(product_quantity_unit)), '100ml', '100g')) AS nutrition_basis,
+    {_key("lower(" + _LABEL + ")")} AS brand_key,
+    if(coalesce(t.category_l2, 'other') IN (SELECT category_l2 FROM category_taxonomy),
+      {_key("coalesce(t.category_l2, 'other')")}, NULL) AS category_key
+  FROM stg_products s LEFT JOIN winners w USING (barcode)
+  LEFT JOIN category_taxonomy t ON t.category_l2 = w.best.l2
 ),
+int_products_categorised AS (SELECT barcode, matched_tag, category_l2, category_l1, mapping_status FROM keyed),
 dim_category AS (SELECT {_key("category_l2")} AS category_key, * FROM category_taxonomy),
-labels_of AS (SELECT barcode, {_LABEL} AS brand_raw, lower({_LABEL}) AS brand_key_source FROM stg_products),
-spellings AS (SELECT brand_key_source, brand_raw, count(*) AS n FROM labels_of GROUP BY ALL),
 dim_brand AS (
-  SELECT {_key("l.brand_key_source")} AS brand_key, b.brand_raw AS brand_name, count(*) AS product_count
-  FROM labels_of l JOIN (SELECT *, row_number() OVER (PARTITION BY brand_key_source
-      ORDER BY n DESC, brand_raw) AS rn FROM spellings) b
-    ON b.brand_key_source = l.brand_key_source AND b.rn = 1
-  GROUP BY b.brand_raw, l.brand_key_source
+  SELECT brand_key, list_sort(list({{'n': -n, 'label': label}}))[1].label AS brand_name, CAST(sum(n) AS BIGINT) AS product_count
+  FROM (SELECT brand_key, label, count(*) AS n FROM keyed GROUP BY brand_key, label) GROUP BY brand_key
 ),
 dim_product AS (
-  SELECT s.barcode AS product_key, s.product_name, s.quantity, s.nutriscore_grade,
-    CASE WHEN nutrition_data_per = '100ml' THEN '100ml' WHEN nutrition_data_per = '100g' THEN '100g'
-      WHEN lower(product_quantity_unit) IN ('ml', 'cl', 'l') THEN '100ml' ELSE '100g' END AS nutrition_basis,
-    s.last_modified_at, {_key("l.brand_key_source")} AS brand_key, c.category_key, i.mapping_status
-  FROM stg_products s JOIN labels_of l ON l.barcode = s.barcode
-  LEFT JOIN int_products_categorised i ON i.barcode = s.barcode
-  LEFT JOIN dim_category c ON c.category_l2 = i.category_l2
+  SELECT barcode AS product_key, product_name, quantity, nutriscore_grade, nutrition_basis, last_modified_at,
+    brand_key, category_key, mapping_status
+  FROM keyed
 ),
 fct_nutrition AS (
-  SELECT p.product_key, n.nutrient,
-    CAST(CASE WHEN n.nutrient = 'energy' AND lower(n.unit) = 'kcal' THEN n.value_per_100 * 4.184
-      ELSE n.value_per_100 END AS DECIMAL(38,21)) AS value_per_100,
-    r.standard_unit AS unit, p.nutrition_basis AS basis, p.category_key, p.brand_key
-  FROM stg_product_nutrients n JOIN nutrient_reference r ON lower(r.nutrient) = lower(n.nutrient)
-  JOIN dim_product p ON p.product_key = n.barcode WHERE n.value_per_100 >= 0
+  SELECT barcode AS product_key, n.nutrient,
+    CAST(n.value_per_100 * if(n.nutrient = 'energy' AND lower(n.unit) = 'kcal', 4.184, 1.000) AS DECIMAL(38,21)) AS value_per_100,
+    r.standard_unit AS unit, nutrition_basis AS basis, category_key, brand_key
+  FROM keyed JOIN stg_product_nutrients n USING (barcode)
+  JOIN nutrient_reference r ON lower(r.nutrient) = lower(n.nutrient)
+  WHERE n.value_per_100 >= 0
 )
 """
 
@@ -209,6 +205,18 @@ def stg_product_nutrients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nutrients.withColumn("value_per_100", as_double("value_per_100"))
 
 
+@query(
+    model_sql("""
+SELECT barcode, e.name AS nutrient, e.unit AS unit, if(e."100g" IS NULL, 'missing', 'too large') AS reason
+FROM (SELECT barcode, unnest(nutriments) AS e FROM stg_products)
+WHERE lower(e.unit) IN ('g', 'mg', 'kcal', 'kj') AND (e."100g" IS NULL OR abs(e."100g") >= 1e15)
+""")
+)
+def rejected_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What staging leaves out, with the reason."""
+    return p.rejected_amounts(Models(spark, sf_dir).stg_products).drop("amount")
+
+
 @query(model_sql("SELECT * FROM int_products_categorised"))
 def int_products_categorised(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = Models(spark, sf_dir)

@@ -7,6 +7,13 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.nested import nested_columns, with_json_text, with_parsed_json
 
+#: Outer spaces are part of a cell, and times have six digits, on writing and on reading.
+CELLS = {
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+}
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True
@@ -21,8 +28,9 @@ def read_csv(
         [T.StructField(f.name, T.StringType() if f.name in nested else f.dataType) for f in schema]
     )
     cells = spark.read.csv(
-        path, schema=flat, header=True, nullValue="", quote='"', escape='"', multiLine=line_breaks
-    )
+        path, schema=flat, header=True, nullValue="", quote='"', escape='"',
+        multiLine=line_breaks, **CELLS,
+    )
     return with_parsed_json(cells, schema)
 
 
@@ -31,7 +39,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
     CSV has one kind of empty cell, so an empty text is written as NULL too.
     """
-    with_json_text(df).write.csv(path, header=True, nullValue="", emptyValue="", escape='"')
+    with_json_text(df).write.csv(path, header=True, nullValue="", emptyValue="", escape='"', **CELLS)
 
 
 def write_complete(df: DataFrame, path: str) -> DataFrame:

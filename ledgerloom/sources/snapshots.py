@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.nested import has_member
 from ledgerloom.schemas import RAW, SNAPSHOT
@@ -21,12 +22,16 @@ def extract_snapshot(
     """Rows whose country list holds ``tag``, in the snapshot layout.
 
     ``code`` is renamed, ``loaded_at`` is one value for the whole load. Only the
-    listed columns reach the scan.
+    listed columns reach the scan. Fields of nested values are taken by name,
+    whatever else the source has beside them; text that is no number is NULL.
     """
+    types = {f.name: f.dataType for f in source.schema}
+    names = {f.name: "code" if f.name == "barcode" else f.name for f in SNAPSHOT}
+    if lacking := sorted(set(names.values()) - set(types)):
+        raise ValueError(f"the source lacks {', '.join(lacking)}")
     wanted = source.where(has_member("countries_tags", tag)) if tag else source
     columns = [
-        F.col("code" if f.name == "barcode" else f.name).cast(f.dataType).alias(f.name)
-        for f in SNAPSHOT
+        by_name(F.col(names[f.name]), types[names[f.name]], f.dataType).alias(f.name) for f in SNAPSHOT
     ]
     return wanted.select(
         *columns,
@@ -35,6 +40,22 @@ def extract_snapshot(
     )
 
 
+def by_name(column: Column, have: T.DataType, want: T.DataType) -> Column:
+    """``column`` in another type: nested fields by name, those it lacks NULL, bad numbers NULL."""
+    if have == want:
+        return column
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(column, lambda e: by_name(e, have.elementType, want.elementType))
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        fields = [
+            (by_name(column[f.name], have[f.name].dataType, f.dataType) if f.name in have.names
+             else F.lit(None).cast(f.dataType)).alias(f.name)
+            for f in want
+        ]
+        return F.when(column.isNotNull(), F.struct(*fields))
+    return column.try_cast(want)
+
+
 def replace_partition(
     df: DataFrame, table: str, load_date: dt.date, column: str = "load_date"
 ) -> None:

@@ -64,3 +64,22 @@ def test_failing_checks_leave_the_published_tables_alone(spark, root):
     kept = spark.table("audit.unique_stg_product_nutrients_barcode_nutrient")
     assert kept.collect() == [("10000001", "fat", 2)]
     assert not spark.catalog.tableExists("audit.ratio_fct_nutrition_salt_sodium")  # no longer fails
+
+
+def test_an_older_load_can_be_built_beside_a_fresh_one(spark, root):
+    old = LOAD_DATE - dt.timedelta(days=40)
+    daily.load(spark, source(spark, SYNTHETIC), old, LOADED_AT - dt.timedelta(days=40))
+    daily.load(spark, source(spark, SYNTHETIC), LOAD_DATE, LOADED_AT)
+    daily.build(spark, root, AS_OF, old)
+    assert sizes(spark) == MARTS
+
+
+def test_a_stored_table_without_a_column_stops_the_gate(spark, root):
+    daily.load(spark, source(spark, SYNTHETIC), LOAD_DATE, LOADED_AT)
+    lacking = spark.table("raw.products").drop("labels_tags").collect()
+    fields = [f for f in spark.table("raw.products").schema if f.name != "labels_tags"]
+    stored = spark.createDataFrame(lacking, type(spark.table("raw.products").schema)(fields))
+    spark.sql("DROP TABLE raw.products")
+    stored.write.partitionBy("load_date").saveAsTable("raw.products")
+    with pytest.raises(GateFailed, match="required_columns_raw"):
+        daily.check_load(spark, LOAD_DATE, AS_OF)

@@ -82,3 +82,11 @@ def test_parents(spark):
     assert with_parent(child, parent, "c", "p").collect() == [(1,)]
     assert without_parent(child, parent, "c", "p").collect() == [(2,)]
     assert without_parent(child, parent, "c", "p", null_is_orphan=True).count() == 2
+
+
+def test_rows_of_one_key_keep_their_own_winner_either_way(spark):
+    products = spark.createDataFrame([(1, ["a"]), (1, ["b"]), (None, ["a"])], "k int, tags array<string>")
+    table = spark.createDataFrame([("a", "A", 1), ("b", "B", 2)], "tag string, target string, priority int")
+    for cap in (500, 0):
+        out = best_tag(products, "k", "tags", table, tag="tag", target="target", cap=cap)
+        assert {(r.k, r.matched_target) for r in out.collect()} == {(1, "A"), (1, "B"), (None, None)}

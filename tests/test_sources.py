@@ -141,3 +141,29 @@ def test_published_table_shows_comments_and_switches_versions(spark):
 def test_loaded_at_is_utc(spark):
     load = raw(spark, SYNTHETIC[:1])
     assert load.select(F.unix_seconds("loaded_at")).first()[0] == int(LOADED_AT.timestamp())
+
+
+def test_nested_fields_are_taken_by_name(spark):
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+
+    from ledgerloom.sources.snapshots import by_name
+
+    have = "array<struct<unit:string,extra:int,`100g`:string,name:string>>"
+    want = "array<struct<name:string,`100g`:double,unit:string>>"
+    df = spark.createDataFrame([([("g", 1, "2.5", "fat"), ("g", 2, "n/a", "salt")],)], f"n {have}")
+    types = [T._parse_datatype_string(t) for t in (have, want)]
+    row = df.select(by_name(F.col("n"), *types).alias("n")).first()
+    assert [tuple(e) for e in row.n] == [("fat", 2.5, "g"), ("salt", None, "g")]
+
+
+def test_csv_keeps_outer_spaces_and_microseconds(spark, tmp_path):
+    import datetime as dt
+
+    from ledgerloom.sources import files
+
+    at = dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
+    df = spark.createDataFrame([(" lead ", at)], "s string, t timestamp")
+    files.write_csv(df, str(tmp_path / "csv"))
+    back = files.read_csv(spark, str(tmp_path / "csv"), df.schema).first()
+    assert (back.s, back.t) == (" lead ", at)
