@@ -1,10 +1,9 @@
 from __future__ import annotations
 
-from collections import Counter
 from decimal import Decimal
 
 import pytest
-from fixture_rows import SYNTHETIC, entries, raw, row
+from fixture_rows import SHELF, Product, raw
 
 from ledgerloom.functions.measures import CONVERTED
 from ledgerloom.plans import products as p
@@ -23,78 +22,83 @@ class Built:
 
 
 @pytest.fixture(scope="module")
-def synthetic(spark, seeds):
-    return Built(spark, seeds, SYNTHETIC)
+def shelf(spark, seeds):
+    return Built(spark, seeds, SHELF)
 
 
 def by(df, key, *columns):
     return {r[key]: r[columns[0]] if len(columns) == 1 else tuple(r[c] for c in columns) for r in df.collect()}
 
 
-def test_staging_keeps_one_row_per_barcode(synthetic):
-    assert synthetic.raw.count() == 19
-    brands = by(synthetic.stg, "barcode", "brands")
-    assert len(brands) == 17 == synthetic.stg.count()
-    assert (brands["9999910001"], brands["9999910002"]) == ("NewSpelling0", "NewSpelling1")
-    assert {"00012345678905", "00098765432108"} <= set(brands)
+def test_staging_keeps_one_row_per_barcode(shelf):
+    assert (shelf.raw.count(), shelf.stg.count()) == (18, 16)
+    brands = by(shelf.stg, "barcode", "brands")
+    assert len(brands) == 16
+    assert brands["40000017"] == "Third"
+    assert brands["40000048"] is None
+    assert "00400116" in brands  # a code is text
 
 
-def test_grades(synthetic):
-    assert Counter(r.nutriscore_grade for r in synthetic.stg.collect()) == {"c": 15, None: 2}
+def test_grades(shelf):
+    grades = by(shelf.stg, "barcode", "nutriscore_grade")
+    assert (grades.pop("40000024"), grades.pop("40000031")) == ("b", None)
+    assert set(grades.values()) == {"d"}
 
 
-def test_categories(synthetic):
-    rows = synthetic.categorised.collect()
-    assert Counter(r.mapping_status for r in rows) == {"mapped": 13, "unmapped": 2, "no_categories": 2}
-    mapped = {(r.matched_tag, r.category_l2, r.category_l1) for r in rows if r.mapping_status == "mapped"}
-    assert mapped == {("en:snacks", "salty_snacks", "snacks_sweets")}
-    assert {r.category_l2 for r in rows if r.mapping_status != "mapped"} == {"other"}
+def test_categories(shelf):
+    got = by(shelf.categorised, "barcode", "matched_tag", "category_l2", "category_l1", "mapping_status")
+    assert got.pop("40000055") == (None, "other", "other", "no_categories")
+    assert got.pop("40000062") == (None, "other", "other", "unmapped")
+    assert got.pop("40000079") == ("en:breads", "bread", "grains_bread_pasta", "mapped")
+    assert set(got.values()) == {("en:gouda", "cheese", "dairy", "mapped")}
 
 
-def test_dimensions(synthetic, seeds):
-    assert Counter(r.nutrition_basis for r in synthetic.products.collect()) == {"100g": 15, "100ml": 2}
-    assert by(synthetic.brands, "brand_name", "product_count") == {
-        "Testmerk": 13, "unknown": 2, "NewSpelling0": 1, "NewSpelling1": 1,
-    }
+def test_dimensions(shelf, seeds):
+    basis = by(shelf.products, "product_key", "nutrition_basis")
+    assert {code for code, given in basis.items() if given == "100ml"} == {"40000086", "40000093"}
+    assert by(shelf.brands, "brand_name", "product_count") == {"Polder": 14, "Third": 1, "unknown": 1}
     categories = p.dim_category(seeds)
     assert categories.count() == 48
-    assert synthetic.products.join(synthetic.brands, "brand_key", "left_anti").isEmpty()
-    assert synthetic.products.join(categories, "category_key", "left_anti").isEmpty()
+    assert shelf.products.join(shelf.brands, "brand_key", "left_anti").isEmpty()
+    assert shelf.products.join(categories, "category_key", "left_anti").isEmpty()
 
 
-def test_fact(synthetic):
-    assert synthetic.fact.count() == 100
-    assert synthetic.fact.schema["value_per_100"].dataType == CONVERTED
-    assert synthetic.fact.groupBy("product_key", "nutrient").count().where("count > 1").isEmpty()
+def test_fact(shelf):
+    sizes = by(shelf.fact.groupBy("product_key").count(), "product_key", "count")
+    own = {code: sizes.pop(code) for code in ("40000130", "40000147", "40000154", "40000161")}
+    assert list(own.values()) == [5, 1, 1, 2]
+    assert set(sizes.values()) == {5} and len(sizes) == 12
+    assert shelf.fact.schema["value_per_100"].dataType == CONVERTED
+    assert shelf.fact.groupBy("product_key", "nutrient").count().where("count > 1").isEmpty()
 
 
 EDGE_ROWS = [
-    row("10000001", last_modified_t=1700000000, brands="Dated"),
-    row("10000001", last_modified_t=None, brands="Undated"),
-    row(None, brands="Nobody"),
-    row(None, brands="Nothing"),
-    row("10000002", product_name=[("nl", "  "), ("en", "English")]),
-    row("10000003", product_name=[("fr", "Nom"), ("en", "English")]),
-    row("10000004", product_name=[]),
-    row("10000005", categories_tags=["en:sodas", "EN:BREADS", "en:snacks"]),  # two of priority 2
-    row("10000006", categories_tags=["en:groceries"]),  # mapped to other on purpose
-    row("10000007", categories_tags=["en:dairies", "en:gouda"]),
-    row("10000008", brands=", Foo"),
-    row("10000009", brands="Big\t  Co, Other"),
-    row("10000010", brands="BIG CO"),
-    row("10000011", brands="Unknown"),
-    row("10000012", brands=None),
-    row("10000013", nutriments=entries("kcal", energy=100)),
-    row("10000014", nutriments=entries("KJ", energy=100)),
-    row("10000015", nutriments=[("Energy", 100.0, "kcal"), ("FAT", 1.5, "G")]),
-    row("10000016", nutriments=[
+    Product("10000001", last_modified_t=1700000000, brands="Dated"),
+    Product("10000001", last_modified_t=None, brands="Undated"),
+    Product(None, brands="Nobody"),
+    Product(None, brands="Nothing"),
+    Product("10000002", product_name=[("nl", "  "), ("en", "English")]),
+    Product("10000003", product_name=[("fr", "Nom"), ("en", "English")]),
+    Product("10000004", product_name=[]),
+    Product("10000005", categories_tags=["en:sodas", "EN:BREADS", "en:snacks"]),  # two of priority 2
+    Product("10000006", categories_tags=["en:groceries"]),  # mapped to other on purpose
+    Product("10000007", categories_tags=["en:dairies", "en:gouda"]),
+    Product("10000008", brands=", Foo"),
+    Product("10000009", brands="Big\t  Co, Other"),
+    Product("10000010", brands="BIG CO"),
+    Product("10000011", brands="Unknown"),
+    Product("10000012", brands=None),
+    Product("10000013", nutriments=[("energy", 100.0, "kcal")]),
+    Product("10000014", nutriments=[("energy", 100.0, "KJ")]),
+    Product("10000015", nutriments=[("Energy", 100.0, "kcal"), ("FAT", 1.5, "G")]),
+    Product("10000016", nutriments=[
         ("fat", 1.0, "%"), ("salt", 1.0, None), ("fiber", None, "g"), ("proteins", -1.0, "g"),
         ("sugars", 0.0, "g"), ("sodium", 0.30000001192092896, "mg"), ("nova-group", 4.0, "g"),
         ("starch", 1e15, "g"), ("water", float("nan"), "g"),
     ]),
-    row("10000017", nutriments=[("fat", 1.0, "g"), ("fat", 2.0, "g")]),
-    row("10000018", nutriments=None),
-    row("10000019", categories_tags=None),
+    Product("10000017", nutriments=[("fat", 1.0, "g"), ("fat", 2.0, "g")]),
+    Product("10000018", nutriments=None),
+    Product("10000019", categories_tags=None),
 ]
 
 
@@ -149,7 +153,7 @@ def test_measure_rules(edge):
 
 
 def test_sample_is_the_first_keys_of_each_category(spark, seeds):
-    rows = [row(f"{i:08d}", categories_tags=[tag]) for i in range(40) for tag in ["en:gouda", "en:waters"][i % 2 :][:1]]
+    rows = [Product(f"{i:08d}", categories_tags=[tag]) for i in range(40) for tag in ["en:gouda", "en:waters"][i % 2 :][:1]]
     built = Built(spark, seeds, rows)
     sample = p.stratified_sample(built.raw, built.products, p.dim_category(seeds))
     assert [r.barcode for r in sample.collect()] == [f"{i:08d}" for i in range(26)]
@@ -157,7 +161,7 @@ def test_sample_is_the_first_keys_of_each_category(spark, seeds):
 
 def test_build_shuffles_once(spark, seeds):
     """Newest-version choice aside, keys, product dimension and fact need no exchange."""
-    built = Built(spark, seeds, SYNTHETIC)
+    built = Built(spark, seeds, SHELF)
     stg = p.stg_products(built.raw)
     fact = p.fct_nutrition(p.products_with_keys(stg, seeds), seeds)
     plan = fact._jdf.queryExecution().executedPlan().toString()

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from fixture_rows import LOADED_AT, SYNTHETIC, raw, row
+from fixture_rows import LOADED_AT, SHELF, Product, raw
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import RAW, SNAPSHOT
@@ -32,33 +32,33 @@ def table(spark):
 
 
 def test_extract_filters_renames_and_stamps(spark):
-    rows = [*SYNTHETIC[:2], row("1", countries_tags=["en:france"]), row("2", countries_tags=None)]
+    rows = [*SHELF[:2], Product("1", countries_tags=["en:france"]), Product("2", countries_tags=None)]
     load = raw(spark, rows)
     assert load.schema.names == RAW.names
-    assert [(r.barcode, r.load_date) for r in load.collect()] == [("9999910001", DAY1)] * 2
+    assert [(r.barcode, r.load_date) for r in load.collect()] == [("40000017", DAY1)] * 2
     assert load.select("loaded_at").distinct().count() == 1
 
 
 def test_replace_is_idempotent_and_leaves_other_loads(spark, table):
-    replace_partition(raw(spark, SYNTHETIC, DAY1), table, DAY1)
+    replace_partition(raw(spark, SHELF, DAY1), table, DAY1)
     for _ in range(2):
-        replace_partition(raw(spark, SYNTHETIC[:5], DAY2), table, DAY2)
+        replace_partition(raw(spark, SHELF[:5], DAY2), table, DAY2)
     counts = {r.load_date: r["count"] for r in spark.table(table).groupBy("load_date").count().collect()}
-    assert counts == {DAY1: 19, DAY2: 5}
+    assert counts == {DAY1: 18, DAY2: 5}
 
 
 def test_replacing_with_nothing_empties_the_load(spark, table):
-    for rows in (SYNTHETIC, []):
+    for rows in (SHELF, []):
         replace_partition(raw(spark, rows, DAY2), table, DAY2)
     assert spark.table(table).isEmpty()
-    replace_partition(raw(spark, SYNTHETIC[:1], DAY1), table, DAY1)
+    replace_partition(raw(spark, SHELF[:1], DAY1), table, DAY1)
     assert newest_load_date(spark, table) == DAY1  # the empty newer load does not count
 
 
 def test_a_new_column_is_null_in_older_loads(spark, table):
-    old = raw(spark, SYNTHETIC[:1], DAY1).drop("nutrition_data_per")
+    old = raw(spark, SHELF[:1], DAY1).drop("nutrition_data_per")
     replace_partition(old, table, DAY1)
-    replace_partition(raw(spark, SYNTHETIC[:1], DAY2), table, DAY2)
+    replace_partition(raw(spark, SHELF[:1], DAY2), table, DAY2)
     replace_partition(old, table, DAY1)  # a load without the column still fits
     stored = conform_to_raw(spark.table(table)).select("load_date", "nutrition_data_per")
     assert sorted(stored.collect()) == [(DAY1, None), (DAY2, "100g")]
@@ -66,7 +66,7 @@ def test_a_new_column_is_null_in_older_loads(spark, table):
 
 def test_choosing_loads(spark, table):
     for day, n in ((DAY1, 3), (DAY2, 2)):
-        replace_partition(raw(spark, SYNTHETIC[:n], day), table, day)
+        replace_partition(raw(spark, SHELF[:n], day), table, day)
     loads = spark.table(table)
     assert latest_partition(loads).count() == 2
     assert chosen_partition(loads, DAY1).count() == 3
@@ -77,7 +77,7 @@ def test_choosing_loads(spark, table):
 
 
 def test_latest_load_is_a_partition_filter(spark, table):
-    replace_partition(raw(spark, SYNTHETIC, DAY1), table, DAY1)
+    replace_partition(raw(spark, SHELF, DAY1), table, DAY1)
 
     def scan(df):
         plan = df.select("barcode")._jdf.queryExecution().executedPlan().toString()
@@ -91,7 +91,7 @@ def test_latest_load_is_a_partition_filter(spark, table):
 
 
 def test_csv_round_trip_keeps_nested_values_and_leading_zeros(spark):
-    rows = [*SYNTHETIC, row("007", product_name=[("nl", 'say "hi", you\nthere')], nutriments=None)]
+    rows = [*SHELF, Product("007", product_name=[("nl", 'say "hi", you\nthere')], nutriments=None)]
     load = raw(spark, rows).select(*SNAPSHOT.names)
     path = scratch_path(spark, "csv")
     files.write_csv(load, path)
@@ -139,7 +139,7 @@ def test_published_table_shows_comments_and_switches_versions(spark):
 
 
 def test_loaded_at_is_utc(spark):
-    load = raw(spark, SYNTHETIC[:1])
+    load = raw(spark, SHELF[:1])
     assert load.select(F.unix_seconds("loaded_at")).first()[0] == int(LOADED_AT.timestamp())
 
 
