@@ -17,28 +17,31 @@ from ledgerloom.functions.nested import nested_columns
 _RANK = "__rank"
 
 
-def total_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> list[Column]:
-    """``order`` followed by every other column, plain ones before nested ones.
+def total_order(df: DataFrame, placed: Sequence[str], order: Sequence[Column]) -> list[Column]:
+    """``order`` followed by every column that isn't ``placed``, plain ones before nested ones.
 
     Rows that still tie are equal, so the result does not depend on how the
     input is split. Columns are named, not packed: nothing is added to the rows.
     """
     nested = nested_columns(df.schema)
-    plain = [c for c in df.columns if c not in nested and c not in keys]
+    plain = [c for c in df.columns if c not in nested and c not in placed]
     return [*order, *[F.col(c).asc_nulls_first() for c in [*plain, *nested]]]
 
 
 def top_per_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, ordered: Sequence[str] = ()
 ) -> DataFrame:
-    """First ``n`` rows of every group; NULL keys form one group."""
-    window = Window.partitionBy(*keys).orderBy(*total_order(df, keys, order))
+    """First ``n`` rows of every group; NULL keys form one group.
+
+    Columns that ``order`` sorts as they are may be named in ``ordered``: they are not compared twice.
+    """
+    window = Window.partitionBy(*keys).orderBy(*total_order(df, [*keys, *ordered], order))
     return df.withColumn(_RANK, F.row_number().over(window)).where(F.col(_RANK) <= n).drop(_RANK)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], *times: str) -> DataFrame:
     """Newest row per key. A row without a time counts as newest, NULL sorting as the largest value."""
-    return top_per_group(df, keys, [F.col(t).desc_nulls_first() for t in times])
+    return top_per_group(df, keys, [F.col(t).desc_nulls_first() for t in times], ordered=times)
 
 
 def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:

@@ -17,6 +17,7 @@ from ledgerloom.sources.snapshots import (
     chosen_partition,
     conform_to_raw,
     extract_snapshot,
+    load_date_before,
     newest_load_date,
     replace_partition,
 )
@@ -50,7 +51,10 @@ def check_load(
 ) -> list:
     """Stop unless the load passes all raw checks. Run again it gives the same answer."""
     stored = spark.table(RAW_TABLE)
-    checks, tables = suites.raw_gate(conform_to_raw(stored), load_date, as_of, **options)
+    previous = load_date_before(spark, RAW_TABLE, load_date)
+    checks, tables = suites.raw_gate(
+        conform_to_raw(stored), load_date, as_of, previous=previous, **options
+    )
     # The conformed table has every column, so the stored one is asked for them.
     checks = [replace(k, table="stored") if isinstance(k, c.ColumnsCheck) else k for k in checks]
     tables["stored"] = stored

@@ -56,9 +56,15 @@ def missing_rules() -> dict[str, Column]:
     }
 
 
-def previous_count(raw: DataFrame, load_date: dt.date | str) -> Column:
-    """Rows of the load before ``load_date`` as a scalar, 0 if there is none."""
-    earlier = raw.where(F.col("load_date") == previous_partition(raw, load_date))
+def previous_count(
+    raw: DataFrame, load_date: dt.date | str, previous: dt.date | None = None
+) -> Column:
+    """Rows of the load before ``load_date`` as a scalar, 0 if there is none.
+
+    A caller that knows the ``previous`` date spares the search for it in the table.
+    """
+    before = previous_partition(raw, load_date) if previous is None else F.lit(previous)
+    earlier = raw.where(F.col("load_date") == before)
     return earlier.agg(F.count(F.lit(1))).scalar()
 
 
@@ -67,13 +73,14 @@ def raw_checks(
     load_date: dt.date | str,
     as_of: dt.datetime,
     row_count_range: tuple[int, int] = ROW_COUNT_RANGE,
+    previous: dt.date | None = None,
 ) -> list[Check]:
     """The 12 checks that one load must pass before anything is built from it."""
     layer = table = "raw"
     missing = missing_rules()
     return [
         c.row_count_between(layer, table, *row_count_range),
-        c.not_dropped(layer, table, previous_count(raw, load_date), DROP_RATIO),
+        c.not_dropped(layer, table, previous_count(raw, load_date, previous), DROP_RATIO),
         c.not_null(layer, table, "barcode"),
         c.unique(layer, table, "barcode", count_rows=True),
         c.matches_mostly(layer, table, "barcode", matches("barcode"), BARCODE_MISMATCH_SHARE),

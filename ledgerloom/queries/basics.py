@@ -16,7 +16,13 @@ from ledgerloom.queries.registry import query, table
 from ledgerloom.session import scratch_path
 from ledgerloom.sources import files
 from ledgerloom.sources.seeds import in_plan_table, values
-from ledgerloom.sources.snapshots import chosen_partition, latest_partition, newest
+from ledgerloom.sources.snapshots import (
+    chosen_partition,
+    latest_partition,
+    newest,
+    newest_load_date,
+    replace_partition,
+)
 
 # --- sources and partitions --------------------------------------------------
 
@@ -87,18 +93,27 @@ def load_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("""
-SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS load_date, count(*) AS n_events,
-  CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total
-FROM events GROUP BY 1
+@query(f"""
+WITH days AS ({_EVENT_DAYS}),
+ends AS (SELECT max(load_date) AS emptied,
+    max(load_date) FILTER (WHERE load_date < (SELECT max(load_date) FROM days)) AS replaced FROM days)
+SELECT CAST(load_date AS VARCHAR) AS load_date, count(*) AS n_events,
+  CAST(sum(CAST(value AS DECIMAL(18,2)) * if(load_date = replaced, 2, 1)) AS DOUBLE) AS total
+FROM days, ends WHERE load_date < emptied GROUP BY 1
 """)
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every day written twice, the second time replacing the first."""
+    """All days stored; the last one replaced by nothing, the one before by other rows, twice."""
     days = _events_by_day(spark, sf_dir)
     path = scratch_path(spark, "events-by-day")
+    name = "events_" + path.rsplit("-", 1)[1]
+    days.write.partitionBy("load_date").format("parquet").saveAsTable(name, path=path)
+    replace_partition(days.limit(0), name, newest_load_date(spark, name))
+    last = newest_load_date(spark, name)
+    doubled = days.where(F.col("load_date") == F.lit(last)).withColumn("value", F.col("value") * 2)
     for _ in range(2):
-        days.write.mode("overwrite").partitionBy("load_date").parquet(path)
+        replace_partition(doubled, name, last)
     stored = spark.read.schema(days.schema).parquet(path)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
     total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
     return stored.groupBy(F.col("load_date").cast("string").alias("load_date")).agg(
         F.count(F.lit(1)).alias("n_events"), total.alias("total")
@@ -106,12 +121,11 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE props END AS props
-FROM events
+SELECT * REPLACE (CASE WHEN event_type = 'error' THEN NULL ELSE props END AS props) FROM events
 """)
 def evolve_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files from before a column existed, read together with newer ones."""
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    events = table(spark, sf_dir, "events")
     path = scratch_path(spark, "events-evolved")
     old = events.where("event_type = 'error'").drop("props")
     old.write.parquet(f"{path}/part=old")
@@ -120,12 +134,12 @@ def evolve_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT event_type, user_id, NULL AS value FROM events WHERE event_type = 'error'
-UNION ALL SELECT event_type, user_id, value FROM events WHERE event_type <> 'error'
+SELECT * REPLACE (NULL AS value) FROM events WHERE event_type = 'error'
+UNION ALL SELECT * FROM events WHERE event_type <> 'error'
 """)
 def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bag union of two sets of rows, one of which lacks a column."""
-    events = table(spark, sf_dir, "events").select("event_type", "user_id", "value")
+    events = table(spark, sf_dir, "events")
     with_value = events.where("event_type <> 'error'")
     return files.append_rows(with_value, events.where("event_type = 'error'").drop("value"))
 
@@ -150,10 +164,10 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("tags")
 
 
-@query("SELECT doc_id, lang, source, n_chars FROM documents")
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written to a new path that appears only when complete."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    documents = table(spark, sf_dir, "documents")
     return files.write_complete(documents, scratch_path(spark, "documents"))
 
 
@@ -194,12 +208,12 @@ def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN lower(trim(substr(o_orderpriority, 3, 99))) IN ('urgent', 'high', 'low')
-  THEN lower(trim(substr(o_orderpriority, 3, 99))) END AS priority
+SELECT o_orderkey, CASE WHEN lower(trim(split_part(o_orderpriority, '-', 2))) IN ('urgent', 'high', 'low')
+  THEN lower(trim(split_part(o_orderpriority, '-', 2))) END AS priority
 FROM orders
 """)
 def restrict_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priority = F.substring("o_orderpriority", 3, 99)
+    priority = F.split_part("o_orderpriority", F.lit("-"), F.lit(2))
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", t.restrict_domain(priority, ("urgent", "high", "low")).alias("priority")
     )
@@ -264,14 +278,14 @@ def text_to_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT p_partkey, CASE WHEN p_type = 'LARGE' THEN '100ml' WHEN p_type = 'SMALL' THEN '100g'
-  WHEN lower(substr(upper(p_name), 1, 1)) IN ('ml', 'cl', 'l') THEN '100ml' ELSE '100g' END AS basis
+  WHEN p_size % 5 < 3 THEN '100ml' ELSE '100g' END AS basis
 FROM part
 """)
 def basis_heuristic(spark: SparkSession, sf_dir: str) -> DataFrame:
     stated = F.when(F.col("p_type") == "LARGE", "100ml").when(F.col("p_type") == "SMALL", "100g")
-    initial = F.upper(F.substring("p_name", 1, 1))
+    unit = F.get(F.array(*map(F.lit, ("ml", "CL", "L", "g"))), F.col("p_size") % 5)
     return table(spark, sf_dir, "part").select(
-        "p_partkey", m.nutrition_basis(stated, initial).alias("basis")
+        "p_partkey", m.nutrition_basis(stated, unit).alias("basis")
     )
 
 
@@ -332,7 +346,7 @@ def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH given AS (
-  SELECT conv_id, turn, unnest([{'lang': role, 'text': substr(text, 1, 1)},
+  SELECT conv_id, turn, unnest([{'lang': role, 'text': text},
     {'lang': 'length', 'text': CAST(length(text) AS VARCHAR)}]) AS e
   FROM conversations WHERE role <> 'system')
 SELECT conv_id, turn, e.lang AS kind, e.text AS content FROM given
@@ -340,7 +354,7 @@ SELECT conv_id, turn, e.lang AS kind, e.text AS content FROM given
 def explode_structs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per list element; a NULL list gives none."""
     pairs = F.array(
-        F.struct(F.col("role").alias("lang"), F.substring("text", 1, 1).alias("text")),
+        F.struct(F.col("role").alias("lang"), "text"),
         F.struct(F.lit("length").alias("lang"), F.length("text").cast("string").alias("text")),
     )
     turns = table(spark, sf_dir, "conversations").select(

@@ -51,7 +51,8 @@ def publish(spark: SparkSession, layer: str, name: str, path: str) -> DataFrame:
     """Point the catalogue table at a finished version.
 
     Rows are neither copied nor moved, and older versions stay on disk for
-    readers that still have them open.
+    readers that still have them open. A table whose columns stay as they are
+    only gets a new location, so it is there at every moment.
     """
     comments = DESCRIPTIONS.get(name, {})
     version = with_comments(spark.read.parquet(path), comments)
@@ -59,20 +60,33 @@ def publish(spark: SparkSession, layer: str, name: str, path: str) -> DataFrame:
         f"`{f.name}` {f.dataType.simpleString()}" + _comment(f.metadata.get("comment"))
         for f in version.schema
     )
-    spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-    spark.sql(
-        f"CREATE TABLE {layer}.{name} ({columns}) USING parquet LOCATION '{path}'"
-        + _comment(comments.get(""))
-    )
+    _point(spark, f"{layer}.{name}", version, path, f" ({columns})", _comment(comments.get("")))
     return spark.table(f"{layer}.{name}")
 
 
+def _point(
+    spark: SparkSession, table: str, version: DataFrame, path: str, columns: str = "", comment: str = ""
+) -> None:
+    """Switch ``table`` to the rows at ``path``; it is made anew only if its layout changed."""
+
+    def layout(df: DataFrame) -> list[tuple]:
+        return [(f.name, f.dataType, f.metadata) for f in df.schema]
+
+    if spark.catalog.tableExists(table):
+        if layout(spark.table(table)) == layout(version):
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+            return
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table}{columns} USING parquet LOCATION '{path}'{comment}")
+
+
 def replace_audit(spark: SparkSession, checks: list[str], paths: dict[str, str]) -> None:
     """One audit table per check that has failing rows; tables of an earlier run go away."""
     for name in checks:
-        spark.sql(f"DROP TABLE IF EXISTS audit.{name}")
         if name in paths:
-            spark.sql(f"CREATE TABLE audit.{name} USING parquet LOCATION '{paths[name]}'")
+            _point(spark, f"audit.{name}", spark.read.parquet(paths[name]), paths[name])
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS audit.{name}")
 
 
 def _comment(text: str | None) -> str:

@@ -117,14 +117,21 @@ def previous_partition(df: DataFrame, load_date: dt.date | str, column: str = "l
 
 
 def newest_load_date(spark: SparkSession, table: str, column: str = "load_date") -> dt.date | None:
-    """Newest load of a catalogue table that has rows, from its list of partitions.
+    """Newest load of a catalogue table that has rows, from its list of partitions."""
+    return load_date_before(spark, table, None, column)
+
+
+def load_date_before(
+    spark: SparkSession, table: str, load_date: dt.date | None, column: str = "load_date"
+) -> dt.date | None:
+    """Newest load with rows before ``load_date``, or of all, from the list of partitions.
 
     Reads no data beyond one row per partition tried: with millions of files
     the list is far cheaper than a maximum over their footers.
     """
     listed = spark.sql(f"SHOW PARTITIONS {table}").collect()  # one entry per load
     dates = (dt.date.fromisoformat(row.partition.split("=", 1)[1]) for row in listed)
-    for date in sorted(dates, reverse=True):
+    for date in sorted((d for d in dates if load_date is None or d < load_date), reverse=True):
         if not spark.table(table).where(F.col(column) == F.lit(date)).isEmpty():
             return date
     return None
