@@ -15,6 +15,7 @@ from ledgerloom.sources.snapshots import (
     chosen_partition,
     conform_to_raw,
     latest_partition,
+    load_date_before,
     newest_load_date,
     previous_partition,
     replace_partition,
@@ -74,6 +75,8 @@ def test_choosing_loads(spark, table):
         chosen_partition(loads, "2020-01-01")
     previous = loads.select(previous_partition(loads, DAY2).alias("p"), previous_partition(loads, DAY1).alias("q"))
     assert previous.first() == (DAY1, None)
+    assert load_date_before(spark, table, DAY2) == DAY1
+    assert load_date_before(spark, table, DAY1) is None
 
 
 def test_latest_load_is_a_partition_filter(spark, table):
@@ -133,6 +136,14 @@ def test_published_table_shows_comments_and_switches_versions(spark):
         _, path = layers.write_version(brands, root, "marts", "dim_brand")
         published = layers.publish(spark, "marts", "dim_brand", path)
         assert published.count() == n
+        if n == 2:
+            spark.sql("ALTER TABLE marts.dim_brand SET TBLPROPERTIES ('kept' = 'yes')")
+    # The same table points at the new version; it was not dropped in between.
+    kept = spark.sql("SHOW TBLPROPERTIES marts.dim_brand ('kept')").first()
+    assert kept.value == "yes"
+    wider = brands.selectExpr("*", "1 AS extra")
+    _, path = layers.write_version(wider, root, "marts", "dim_brand")
+    assert "extra" in layers.publish(spark, "marts", "dim_brand", path).columns
     described = {r.col_name: r.comment for r in spark.sql("DESCRIBE marts.dim_brand").collect()}
     assert described["brand_key"] == "Hash of the case-folded brand."
     spark.sql("DROP TABLE marts.dim_brand")
