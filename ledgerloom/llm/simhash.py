@@ -31,8 +31,9 @@ from ledgerloom.session import materialise
 #: Fingerprints below a node of the level at which the task-side join starts, on average; and the
 #: least such level, so that a small input too gives work units for every core.
 CELL, LEAST_DEPTH = 1 << 14, 4
-#: Product of both sides above which a node pair goes down further before a task takes it.
-UNIT_PAIRS = 1 << 31
+#: Product of both sides, and size of one, above which a node pair goes down further before a task
+#: takes it: the one bounds a task's work, the other its memory.
+UNIT_PAIRS, UNIT_SIDE = 1 << 31, 1 << 20
 #: Levels that such a pair goes down at once.
 STEP = 4
 #: Node pairs that a task keeps at a time.
@@ -105,6 +106,7 @@ def _node_pairs(fps: DataFrame, n: int, most: int) -> Iterator[tuple[int, DataFr
     while True:
         pairs = materialise(pairs, "nodes")
         heavy = F.col("np").cast("double") * F.col("nq") > UNIT_PAIRS
+        heavy = heavy | (F.greatest("np", "nq") > UNIT_SIDE)
         yield depth, pairs.where(~heavy | F.lit(depth >= 64)).select("p", "q")
         if depth >= 64 or empty(pairs.where(heavy)):
             return

@@ -330,6 +330,10 @@ def test_crowded_nodes_go_down_further(docs, rows, monkeypatch):
     monkeypatch.setattr(simhash, "UNIT_PAIRS", 2)
     after = {(r.doc_id, r.fp): r.component_id for r in simhash.near_duplicates(docs).collect()}
     assert after == before
+    monkeypatch.setattr(simhash, "UNIT_PAIRS", 1 << 31)
+    monkeypatch.setattr(simhash, "UNIT_SIDE", 1)
+    after = {(r.doc_id, r.fp): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert after == before
 
 
 def test_components(spark):
