@@ -4,6 +4,7 @@ A check names a table and says which rows fail and how many may. ``evaluate``
 runs any number of them as one query, with as few passes as their kinds allow:
 
 * row checks on one table share a single aggregation,
+* checks for accepted values on one table share a grouping of the bad values alone,
 * checks per key (uniqueness, sums and ratios over the rows of a key) that use
   the same table and key share one grouping,
 * a foreign key is first counted per key value, so the join with the parent
@@ -136,6 +137,32 @@ class ColumnsCheck(RowCheck):
         return missing_columns(tables[self.table], self.required, spark)
 
 
+@dataclass(frozen=True, kw_only=True)
+class ValuesCheck(RowCheck):
+    """Counts the distinct bad values of a column.
+
+    Only bad values are grouped, those of all checks on a table together; a distinct count per
+    check would make a row per check out of every row of the table.
+    """
+
+    @property
+    def shares(self) -> tuple:
+        return ("values", self.table)
+
+    def counted_with(self, group: Sequence[ValuesCheck], tables: Tables) -> tuple[DataFrame, list]:
+        def entry(position: int, value: Column) -> Column:
+            return F.struct(F.lit(position).alias("position"), value.cast("string").alias("value"))
+
+        # Position -1 stands for the row itself, the others for checks it fails.
+        found = [F.when(k.bad, entry(i, F.col(k.bad_values_of))) for i, k in enumerate(group)]
+        entries = F.array_compact(F.array(entry(-1, F.lit(None)), *found))
+        values = tables[self.table].select(F.inline(entries)).groupBy("position", "value")
+        total = F.coalesce(F.sum(F.when(F.col("position") == -1, F.col("n"))), F.lit(0))
+        return values.agg(F.count(F.lit(1)).alias("n")), [
+            (total, F.count_if(F.col("position") == i)) for i in range(len(group))
+        ]
+
+
 @dataclass(frozen=True, kw_only=True)
 class KeyCheck(Check):
     """A rule on an aggregate over the rows of each key."""
@@ -223,9 +250,9 @@ def not_null(layer: str, table: str, column: str, share: str | None = None) -> C
 
 def accepted_values(layer: str, table: str, column: str, values: Sequence[str]) -> Check:
     bad = F.col(column).isNotNull() & ~F.col(column).isin(*values)
-    return RowCheck(
+    return ValuesCheck(
         f"accepted_values_{table}_{column}", layer, table, "accepted_values", "validity",
-        bad=bad, failed=F.countDistinct(F.when(bad, F.col(column))), bad_values_of=column,
+        bad=bad, bad_values_of=column,
     )
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import matches
-
 from ledgerloom.operators import checks as c
 from ledgerloom.operators import profiling
 from ledgerloom.plans import products as p
@@ -18,7 +17,8 @@ from ledgerloom.queries import check_sql as sql
 from ledgerloom.queries.feed import AS_OF, LOAD_DATE, PREVIOUS_DATE, one_load, raw_products
 from ledgerloom.queries.models import Models, as_double, model_sql
 from ledgerloom.queries.registry import query, table
-from ledgerloom.session import materialise
+from ledgerloom.session import materialise, scratch_path
+from ledgerloom.sources import layers
 from ledgerloom.sources.snapshots import chosen_partition
 
 # --- the checks of the product datasets ----------------------------------------
@@ -190,6 +190,59 @@ def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(model_sql(f"""
+SELECT count(*) AS n_checks, count(*) FILTER (verdict = 'error') AS n_errors,
+  count(*) FILTER (verdict = 'error') > 0 AS stopped FROM ({sql.union_all(RAW_LINES)})
+"""))
+def gate_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the gate lets the load through."""
+    results = _raw_results(spark, sf_dir).collect()  # one row per check
+    try:
+        c.gate(results)
+        stopped = False
+    except c.GateFailed:
+        stopped = True
+    errors = sum(r.verdict == "error" for r in results)
+    return spark.createDataFrame(
+        [(len(results), errors, stopped)], "n_checks long, n_errors long, stopped boolean"
+    )
+
+
+@query(model_sql(f"""
+SELECT "check", n_failed AS n_rows FROM ({sql.union_all(MODEL_LINES)}) WHERE n_failed > 0
+"""))
+def audit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the audit stores for each check of the models with failures."""
+    checks, tables = suites.model_checks(), _model_tables(spark, sf_dir)
+    results = c.evaluate(checks, tables).collect()  # one row per check
+    root = scratch_path(spark, "audit")
+    paths = c.write_audit(checks, tables, results, lambda name: layers.new_version(root, "audit", name))
+    parts = [
+        spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows")).withColumn("check", F.lit(name))
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], "check string, n_rows long"))
+
+
+_AMOUNT = "CAST(CAST(value_per_100 AS DECIMAL(24,7)) AS DOUBLE) AS value_per_100"
+
+
+@query(model_sql(f"SELECT * REPLACE ({_AMOUNT}) FROM {_FACT}"))
+def published_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as readers find it after an empty version was published and then switched.
+
+    The table is in a database of its own, so published marts of this session stay as they are.
+    """
+    models = Models(spark, sf_dir)
+    fact = p.fct_nutrition(models.keyed, models.seeds)
+    root = scratch_path(spark, "published")
+    spark.sql("CREATE DATABASE IF NOT EXISTS published_trial")
+    for version in (fact.limit(0), fact):
+        _, path = layers.write_version(version, root, "published_trial", _FACT)
+        shown = layers.publish(spark, "published_trial", _FACT, path)
+    return shown.withColumn("value_per_100", as_double("value_per_100"))
+
+
 # --- failing rows ----------------------------------------------------------------
 
 
@@ -214,9 +267,6 @@ def failing_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("barcode", "product_name")
 
 
-_AMOUNT = "CAST(CAST(value_per_100 AS DECIMAL(24,7)) AS DOUBLE) AS value_per_100"
-
-
 @query(model_sql(f"""
 SELECT product_key, nutrient, {_AMOUNT}, unit FROM {_FACT} WHERE {_MASS} AND value_per_100 NOT BETWEEN 0 AND 100
 """))

@@ -41,6 +41,18 @@ def test_null_passes_everything_but_not_null(spark):
     assert one(c.relationship("l", "t", "x", "p", "x", True), df, p=parent) == (6, 5, "error")
 
 
+def test_accepted_values_group_bad_values_alone(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("c", 2), ("d", 3), (None, None)], "x string, y int")
+    checks = [c.accepted_values("l", "t", "x", ["a"]), c.accepted_values("l", "t", "y", [1, 3])]
+    assert run(checks, {"t": df}) == {
+        "accepted_values_t_x": (5, 2, "error"),
+        "accepted_values_t_y": (5, 1, "error"),
+    }
+    assert one(checks[0], df.limit(0)) == (0, 0, "pass")
+    plan = c.evaluate(checks, {"t": df})._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("Scan ExistingRDD") == 1
+
+
 def test_combination_counts_null_as_a_value(spark):
     df = spark.createDataFrame([("a", None), ("a", None), ("b", 1)], "x string, y int")
     assert one(c.unique_combination("l", "t", "x", "y"), df) == (3, 1, "error")
