@@ -1,8 +1,10 @@
 """Secrets found by patterns and by tests of randomness.
 
 Three kinds are found by pattern: assignments of a secret, access keys, long hexadecimal strings. A
-fourth kind, ``random``, is a long run of letters, digits and ``+/_=-`` that looks like the text
-form of random bytes. Its encoding is inferred (hexadecimal, base 32, base 64); three tests then ask
+fourth kind, ``random``, is a long run of letters, digits and ``+/_-`` that looks like the text
+form of random bytes; ``=`` belongs to it as padding at the end alone, so a value is apart from its
+name. Every run with letters and digits has an encoding (hexadecimal, base 32, base 36, base 38 with
+two marks, base 64; all but the last in either case); three tests then ask
 whether its symbols are random: chi-squared for uniform use of the alphabet, runs above and below
 the middle symbol, and correlation of neighbouring symbols. Together they give a p-value of a
 random string being as odd. Over the corpus, strings that are not random are told by the
@@ -33,14 +35,19 @@ ASSIGN_LEAST = 6
 # Of the runs that these patterns describe only the long ones count, so they ask for the length.
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}"
-#: Alphabets of the encodings, and classes of length: whole binary logarithms, the last one open.
+# Of 16 symbols with the letter frequencies of prose the tests reject about half in base 32 and 36 and
+# four fifths in base 64, so they still tell words from random text; of shorter ones ever fewer.
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,6}"
+#: Alphabets of the encodings, and classes of length: whole binary logarithms, the last one open;
+#: lengths under 24 are a class of their own.
 ALPHABETS = {
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
+    "base36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "base38": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ+/",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
-LONGEST_CLASS = 16
+SHORT_CLASS, LONGEST_CLASS = 3, 16
 FALSE_DISCOVERY = 0.05
 #: P-values are rounded up to steps of a tenth of a decade, so their distribution is a small table.
 STEPS, LAST_STEP = 10, 3000
@@ -111,21 +118,29 @@ def _encoding(run: Column) -> Column:
     body = F.rtrim(run, F.lit("="))
     letters, digits = r"[A-Za-z]", r"[0-9]"
     mixed = body.rlike(letters) & body.rlike(digits)
+    both = body.rlike("[a-z]") & body.rlike("[A-Z]")
     return (
         F.when(mixed & body.rlike("^([0-9a-f]+|[0-9A-F]+)$"), "hex")
-        .when(mixed & body.rlike("^[A-Z2-7]+$"), "base32")
-        .when(mixed & body.rlike("[a-z]") & body.rlike("[A-Z]") & ~body.contains("="), "base64")
+        .when(mixed & body.rlike("^([A-Z2-7]+|[a-z2-7]+)$"), "base32")
+        .when(mixed & body.rlike("^([A-Z0-9]+|[a-z0-9]+)$"), "base36")
+        .when(mixed & both, "base64")
+        .when(mixed, "base38")
     )
 
 
+def _by_encoding(encoding: Column, values: dict[str, object]) -> Column:
+    first, *others = values
+    start = F.when(encoding == first, F.lit(values[first]))
+    return reduce(lambda c, e: c.when(encoding == e, F.lit(values[e])), others, start)
+
+
 def _codes(run: Column, encoding: Column) -> Column:
     """Places of the symbols in the alphabet, from 1."""
-    body = F.rtrim(run, F.lit("="))
-    plain = F.when(encoding == "hex", F.lower(body)).otherwise(F.translate(body, "-_", "+/"))
-    alphabet = reduce(
-        lambda c, e: c.when(encoding == e, F.lit(ALPHABETS[e])), ("base32", "base64"),
-        F.when(encoding == "hex", F.lit(ALPHABETS["hex"])),
-    )
+    body = F.translate(F.rtrim(run, F.lit("=")), "-_", "+/")
+    plain = (
+        F.when(encoding == "hex", F.lower(body)).when(encoding == "base64", body).otherwise(F.upper(body))
+    )
+    alphabet = _by_encoding(encoding, ALPHABETS)
     return _let(
         plain,
         lambda p: F.transform(
@@ -144,7 +159,7 @@ def _erfc(x: Column) -> Column:
 
 def _p_value(codes: Column, encoding: Column) -> Column:
     """Of three tests together, each a standard normal under randomness: chi-squared of degree 3."""
-    size = F.when(encoding == "hex", 16.0).when(encoding == "base32", 32.0).otherwise(64.0)
+    size = _by_encoding(encoding, {e: float(len(a)) for e, a in ALPHABETS.items()})
     n = F.size(codes).cast("double")
     squares = _sum(
         F.transform(
@@ -197,7 +212,9 @@ def random_runs(text: Column) -> Column:
         def row(encoding: Column) -> Column:
             p = _let(_codes(run, encoding), lambda c: _p_value(c, encoding))
             step = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * STEPS), F.lit(LAST_STEP))
-            length = F.least(F.floor(F.log2(place["end"] - place["start"])), F.lit(LONGEST_CLASS))
+            symbols = F.length(F.rtrim(run, F.lit("=")))
+            length = F.least(F.floor(F.log2(symbols)), F.lit(LONGEST_CLASS))
+            length = F.when(symbols < 24, F.lit(SHORT_CLASS)).otherwise(length)
             return F.struct(
                 place["start"].alias("start"), place["end"].alias("end"), encoding.alias("encoding"),
                 length.cast("int").alias("length"),

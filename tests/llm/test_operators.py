@@ -286,6 +286,28 @@ def test_random_runs_and_redaction(spark):
     assert found[0].base_spans == 1
 
 
+def test_random_runs_of_any_encoding_and_place(spark):
+    rng = random.Random(9)
+    aws = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY"
+    alphabets = {
+        "base32": "abcdefghijklmnopqrstuvwxyz234567", "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
+        "BASE36": "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "base38": "abcdefghijklmnopqrstuvwxyz0123456789-_",
+        "base64": secrets.ALPHABETS["base64"][:62],
+    }
+    tokens = [(e, n, "".join(rng.choices(a, k=n))) for e, a in alphabets.items() for n in (16, 20, 32) * 8]
+    places = ("see {} é", "NAME={}", "https://a.b/c?sig={}&v=1", "X='{}=='")
+    texts = [(places[i % 4], t) for i, (_, _, t) in enumerate(tokens)] + [("AWS_ACCESS={}", aws), ("{}", "word2" * 8)]
+    docs = spark.createDataFrame([(i, p.format(t)) for i, (p, t) in enumerate(texts)], "doc_id long, text string")
+    found = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    hit = Counter()
+    for i, (encoding, n, token) in enumerate(tokens):
+        # A token without a digit is a run of letters alone.
+        hit[encoding, n] += token not in found[i] or not re.search("[0-9]", token)
+        assert secrets.MARK not in found[i] or found[i].startswith(texts[i][0].split("{")[0])
+    assert len(hit) == 15 and min(hit.values()) >= 6 and sum(hit.values()) >= 0.9 * len(tokens)
+    assert found[len(tokens)] == "AWS_ACCESS=[secret]" and found[len(tokens) + 1] == "word2" * 8
+
+
 def simhash_of(text):
     found = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
     shingles = [" ".join(found[i : i + 3]) for i in range(max(1, len(found) - 2))] if found else []
