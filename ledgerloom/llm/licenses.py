@@ -1,6 +1,9 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with templates.
 
-A template is a license's notice, a set of words. A block is a line with the line after it. A block
+A template is a license's notice, a set of words. A block is a line with the line after it, or a
+window over the words of the whole text, across line breaks and blank lines: as many words as the
+template has, repeats counted, divided by ``threshold``, and ``slack`` more for comment marks and
+filled-in names. A block
 matches a template if it holds at least ``threshold`` of the template's words. Words that no
 template has can't count, so blocks are cut to template words; these are ordered by how often they
 are in the corpus, rarest first. If a block matches, then
@@ -10,7 +13,10 @@ are in the corpus, rarest first. If a block matches, then
 * after the first word they share, both have enough words left (positional filter).
 
 Pairs that pass are verified. Only the join on prefix words makes pairs, never all blocks with all
-templates, and every block is looked at.
+templates, and every block is looked at. Windows are looked at in texts that match as a whole, which
+is a block of its own in the join: an occurrence of a word counts for the window starts from which it
+is reached and no earlier occurrence is meant, so the running sum over the ends of these ranges is the
+number of distinct words in every window.
 
 Null and empty texts have no words. Repeated rows are scanned alike. An empty table gives an empty
 result. Words beyond ASCII are folded to lower case too, which no phrase and no template has.
@@ -45,14 +51,25 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 THRESHOLD = 0.8
+#: Words that a window has beside those of a template; and the line of a block that is a whole text.
+SLACK = 16
+WHOLE = -1
 
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
 
 
+def _template_words(text: str) -> list[str]:
+    return [w.decode() for w in WORD.findall(text.lower().encode())]
+
+
 def _distinct(text: str) -> list[str]:
-    return sorted({w.decode() for w in WORD.findall(text.lower().encode())})
+    return sorted(set(_template_words(text)))
+
+
+def _needed(size: int, threshold: float) -> int:
+    return math.ceil(threshold * size - 1e-9)
 
 
 def word_ranks(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> dict[str, int]:
@@ -64,18 +81,31 @@ def word_ranks(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> dict[st
     return {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (known.get(w, 0), w)))}
 
 
-def _blocks(text: Column, ranks: dict[str, int], first: str) -> Column:
-    """Per line that holds a prefix word, or stands before such a line: sorted ranks of its words
-    and the next line's."""
+def _blocks(
+    text: Column, ranks: dict[str, int], first: str, templates: Sequence[tuple[str, str]], threshold: float
+) -> Column:
+    """(blocks, hits) of a text that holds a prefix word.
+
+    ``blocks``: sorted ranks of the words of each line and the next one, and of the whole text first.
+    ``hits``: place and rank of each template word, if the whole text has enough of a template's.
+    """
     rank = F.create_map(*[F.lit(x) for w, r in sorted(ranks.items()) for x in (w, r)])
     vocabulary = F.array(*[F.lit(w) for w in sorted(ranks)])
     lines = F.transform(
         F.split(text, "\n"),
         lambda line: F.transform(F.array_intersect(words(line), vocabulary), lambda w: rank[w]),
     )
-    both = F.transform(
-        F.array(lines),
-        lambda ls: F.transform(
+    orders = [[ranks[w] for w in _distinct(t)] for _, t in templates]
+    wanted = F.array(
+        *[
+            F.struct(F.lit(_needed(len(o), threshold)).alias("needed"), F.array(*map(F.lit, o)).alias("template"))
+            for o in orders
+            if o
+        ]
+    )
+
+    def both(ls: Column) -> Column:
+        pairs = F.transform(
             F.sequence(F.lit(0), F.size(ls) - 1),
             lambda i: F.struct(
                 i.alias("line"),
@@ -83,10 +113,58 @@ def _blocks(text: Column, ranks: dict[str, int], first: str) -> Column:
                     F.array_union(F.get(ls, i), F.coalesce(F.get(ls, i + 1), F.array().cast("array<int>")))
                 ).alias("ranks"),
             ),
-        ),
-    )[0]
-    none = F.array().cast("array<struct<line:int,ranks:array<int>>>")
-    return F.when(text.rlike(first), both).otherwise(none)
+        )
+        whole = F.struct(
+            F.lit(WHOLE).alias("line"), F.array_sort(F.array_distinct(F.flatten(ls))).alias("ranks")
+        )
+        return F.concat(F.array(whole), pairs)
+
+    def places() -> Column:
+        found = F.transform(words(text), lambda w, i: F.struct(i.alias("at"), rank[w].alias("rank")))
+        return F.filter(found, lambda h: h["rank"].isNotNull())
+
+    def with_hits(blocks: Column) -> Column:
+        enough = F.exists(
+            wanted,
+            lambda t: F.size(F.array_intersect(t["template"], blocks[0]["ranks"])) >= t["needed"],
+        )
+        none = F.array().cast("array<struct<at:int,rank:int>>")
+        return F.struct(blocks.alias("blocks"), F.when(enough, places()).otherwise(none).alias("hits"))
+
+    found = F.transform(F.transform(F.array(lines), both), with_hits)[0]
+    none = F.struct(
+        F.array().cast("array<struct<line:int,ranks:array<int>>>").alias("blocks"),
+        F.array().cast("array<struct<at:int,rank:int>>").alias("hits"),
+    )
+    return F.when(text.rlike(first), found).otherwise(none)
+
+
+def _best_window(hits: Column, template: Column, width: Column) -> Column:
+    """(best, word): the most distinct template words in ``width`` words, and the first such start."""
+    mine = F.filter(hits, lambda h: F.array_contains(template, h["rank"]))
+    by_word = F.array_sort(F.transform(mine, lambda h: F.struct(h["rank"].alias("rank"), h["at"].alias("at"))))
+
+    def ends(found: Column) -> Column:
+        def of(h: Column, i: Column) -> Column:
+            before, reach = F.get(found, i - 1), h["at"] - width + 1
+            start = F.when(before["rank"] == h["rank"], F.greatest(before["at"] + 1, reach)).otherwise(reach)
+            return F.array(
+                F.struct(start.alias("at"), F.lit(1).alias("by")),
+                F.struct((h["at"] + 1).alias("at"), F.lit(-1).alias("by")),
+            )
+
+        return F.array_sort(F.flatten(F.transform(found, of)))
+
+    def step(a: Column, e: Column) -> Column:
+        now = a["now"] + e["by"]
+        return F.struct(
+            now.alias("now"),
+            F.greatest(now, a["best"]).alias("best"),
+            F.when(now > a["best"], F.greatest(e["at"], F.lit(0))).otherwise(a["word"]).alias("word"),
+        )
+
+    first = F.struct(F.lit(0).alias("now"), F.lit(0).alias("best"), F.lit(0).alias("word"))
+    return F.transform(F.array(by_word), lambda found: F.aggregate(ends(found), first, step))[0]
 
 
 def _phrase_places(text: Column) -> Column:
@@ -114,19 +192,24 @@ def _phrase_places(text: Column) -> Column:
 
 
 def template_matches(
-    parsed: DataFrame, templates: Sequence[tuple[str, str]], ranks: dict[str, int], threshold: float
+    parsed: DataFrame,
+    templates: Sequence[tuple[str, str]],
+    ranks: dict[str, int],
+    threshold: float,
+    slack: int = SLACK,
 ) -> DataFrame:
-    """(row, line, label, containment) of every block that matches a template.
+    """(row, line, label, containment, needed, width, template) of every block that matches a template.
 
-    ``parsed``: row and blocks. Of the words that a block shares with a template only the first one
+    ``parsed``: row and blocks; ``width``: words of a window for the template. Of the words that a block shares with a template only the first one
     makes a pair, so each pair is made once.
     """
     rows = []
     for label, text in templates:
         order = sorted(ranks[w] for w in _distinct(text))
-        needed = math.ceil(threshold * len(order) - 1e-9)
+        needed = _needed(len(order), threshold)
+        width = math.ceil(len(_template_words(text)) / threshold) + slack
         for place, rank in enumerate(order[: len(order) - needed + 1]):
-            values = {"rank": rank, "label": label, "place": place, "needed": needed}
+            values = {"rank": rank, "label": label, "place": place, "needed": needed, "width": width}
             columns = [F.lit(v).alias(c) for c, v in values.items()]
             rows.append(F.struct(*columns, F.array(*[F.lit(r) for r in order]).alias("template")))
     # A row for each prefix word of each template given: small whatever the corpus.
@@ -140,16 +223,23 @@ def template_matches(
         .where(F.size("ranks") >= F.col("needed"))
         .where(left >= F.col("needed"))
         .where((F.element_at(shared, 1) == F.col("rank")) & (F.size(shared) >= F.col("needed")))
-        .select("row", "line", "label", (F.size(shared) / F.size("template")).alias("containment"))
+        .select(
+            "row", "line", "label", (F.size(shared) / F.size("template")).alias("containment"),
+            "needed", "width", "template",
+        )
     )
 
 
 def scan(
-    docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD
+    docs: DataFrame,
+    templates: Sequence[tuple[str, str]] = TEMPLATES,
+    threshold: float = THRESHOLD,
+    slack: int = SLACK,
 ) -> DataFrame:
-    """(doc_id, n_words, places, labels, matches) of every row.
+    """(doc_id, n_words, places, matches, notices) of every row.
 
-    ``places``: (start word, label) of phrases; ``matches``: (line, label, containment) of blocks.
+    ``places``: (start word, label) of phrases; ``matches``: (line, label, containment) of two-line
+    blocks; ``notices``: (start word, label, containment) of each template's best window that matches.
     """
     if not 0 < threshold <= 1:
         raise ValueError("a threshold is above 0 and at most 1")
@@ -158,18 +248,37 @@ def scan(
     first = set()
     for _, text in templates:
         order = sorted(_distinct(text), key=ranks.get)
-        first |= set(order[: len(order) - math.ceil(threshold * len(order) - 1e-9) + 1])
+        first |= set(order[: len(order) - _needed(len(order), threshold) + 1])
     hint = "(?i)" + "|".join(sorted(first))
     text = F.col("text")
     parsed = docs.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.size(words(text)).alias("n_words"),
-        _phrase_places(text).alias("places"), _blocks(text, ranks, hint).alias("blocks"),
+        _phrase_places(text).alias("places"), _blocks(text, ranks, hint, templates, threshold).alias("found"),
     )
-    parsed = materialise(parsed, "blocks")
-    found = template_matches(parsed, templates, ranks, threshold).groupBy("row").agg(
-        F.sort_array(F.collect_set(F.struct("line", "label", "containment"))).alias("matches")
+    parsed = materialise(parsed, "blocks").select("row", "doc_id", "n_words", "places", "found.*")
+    pairs = template_matches(parsed, templates, ranks, threshold, slack)
+    whole = F.col("line") == WHOLE
+    found = pairs.groupBy("row").agg(
+        F.sort_array(F.collect_set(F.when(~whole, F.struct("line", "label", "containment")))).alias("matches"),
+        F.collect_set(F.when(whole, F.struct("label", "needed", "width", "template"))).alias("wanted"),
     )
+
+    def notice(t: Column) -> Column:
+        return F.transform(
+            F.array(_best_window(F.col("hits"), t["template"], t["width"])),
+            lambda b: F.when(
+                b["best"] >= t["needed"],
+                F.struct(
+                    b["word"].alias("word"), t["label"].alias("label"),
+                    (b["best"] / F.size(t["template"])).alias("containment"),
+                ),
+            ),
+        )[0]
+
+    notices = F.sort_array(F.filter(F.transform("wanted", notice), lambda n: n.isNotNull()))
     none = F.array().cast("array<struct<line:int,label:string,containment:double>>")
+    nothing = F.array().cast("array<struct<word:int,label:string,containment:double>>")
     return parsed.join(found, "row", "left").select(
-        "doc_id", F.col("n_words").cast("long"), "places", F.coalesce("matches", none).alias("matches")
-    )
+        "doc_id", F.col("n_words").cast("long"), "places", F.coalesce("matches", none).alias("matches"),
+        F.coalesce(notices, nothing).alias("notices"),
+    )

@@ -131,8 +131,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     starts = F.transform("places", lambda p: p["start"].cast("long"))
     base = F.transform("places", lambda p: p["label"])
-    matched = F.transform("matches", lambda m: m["label"])
-    best = F.array_max(F.transform("matches", lambda m: m["containment"]))
+    matched = F.concat(*[F.transform(c, lambda m: m["label"]) for c in ("matches", "notices")])
+    best = F.array_max(
+        F.concat(*[F.transform(c, lambda m: m["containment"]) for c in ("matches", "notices")])
+    )
     return found.select(
         "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
         F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),

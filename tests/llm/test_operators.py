@@ -412,6 +412,52 @@ def test_licenses(docs, rows):
     assert {label for *_, m in got for _, label, _ in m} >= {"mit", "cc-by-nc"}
 
 
+GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software
+and associated documentation files (the "Software"), to deal in the Software without restriction, including
+without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the
+following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial
+portions of the Software."""
+
+
+def test_notices_over_many_lines(spark, rows):
+    rng = random.Random(12)
+    templates = [*licenses.TEMPLATES, ("mit-whole", GRANT)]
+
+    def wrapped(text, lines, mark="", between="\n"):
+        found = text.split()
+        per = -(-len(found) // lines)
+        return between.join(mark + " ".join(found[i : i + per]) for i in range(0, len(found), per))
+
+    planted = []
+    for label, text in [("mit", licenses.TEMPLATES[1][1]), ("bsd", licenses.TEMPLATES[4][1]), ("mit-whole", GRANT)]:
+        for lines in (3, 7, 20):
+            planted += [(label, wrapped(text, lines)), (label, wrapped(text, lines, " * ", "\n\n"))]
+    texts = [f"{prose(rng, 40)}\n{t}\n{prose(rng, 400)}" for _, t in planted]
+    spread = (" " + prose(rng, 90) + " ").join(GRANT.split())
+    texts += [spread, GRANT, *(t for _, t, *_ in rows)]
+    texts += [" ".join(rng.choices(words(GRANT) + ["x"], k=300)) for _ in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def expected(text):
+        found = words(text)
+        for label, template in templates:
+            wanted = set(words(template))
+            width = int(-(-len(words(template)) * 10 // 8)) + licenses.SLACK
+            counts = [len(set(found[max(i, 0) : i + width]) & wanted) for i in range(1 - width, len(found))]
+            if counts and max(counts) >= 0.8 * len(wanted) - 1e-9:
+                yield max(counts.index(max(counts)) + 1 - width, 0), label, max(counts) / len(wanted)
+
+    got = {r.doc_id: r.notices for r in licenses.scan(docs, templates).collect()}
+    for i, text in enumerate(texts):
+        assert [tuple(n) for n in got[i]] == sorted(expected(text)), i
+    for i, (label, _) in enumerate(planted):
+        assert label in {n.label for n in got[i]}
+    assert not any(n.label == "mit-whole" for n in got[len(planted)])
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     tests = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
