@@ -30,6 +30,8 @@ BITS = 12
 BINS = 2 << BITS
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+#: The same as a pattern on text.
+LETTER_PATTERN = r"[\p{L}\p{Nl}\p{No}]"
 _PIECE = 1 << 20
 
 
@@ -185,7 +187,14 @@ def predict(
 
 
 def identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The rows whose language is known: neither ``und`` nor ambiguous."""
+    """The rows whose language is known: neither ``und`` nor ambiguous.
+
+    If the model has no language, as no row learnt from had one, nothing tells the texts apart: all
+    with a letter are kept.
+    """
+    if not model.languages:
+        with_letter = F.col("text").cast("string").rlike(LETTER_PATTERN)
+        return docs.where(F.coalesce(with_letter, F.lit(False)))
     names = fresh(docs, "lang_pred", "lang_score", "lang_ambiguous")
     found = predict(docs, model, names=tuple(names))
     found = found.where((F.col(names[0]) != UNKNOWN) & ~F.col(names[2]))

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     fingerprints,
@@ -389,6 +390,13 @@ def test_codewords_are_apart():
         assert len(found) == n and min(apart) >= (1 if n == 2 else 2)
 
 
+def test_no_language_known_keeps_texts_with_a_letter(docs, rows):
+    model = language.train(docs.withColumn("lang", F.lit(None).cast("string")))
+    kept = language.identified(docs, model).collect()
+    same([(r.doc_id, r.text) for r in kept], [(r[0], r[1]) for r in rows if re.search(r"[^\W\d_]", r[1] or "")])
+    assert len(kept) > 30
+
+
 def test_licenses(docs, rows):
     def scanned():
         for doc_id, text, *_ in rows:
