@@ -24,6 +24,8 @@ from ledgerloom.llm.common import fresh
 
 #: Hexadecimal digits of a hash that make up a uniform number: 52 bits.
 DIGITS = 13
+#: Up to this mean the distribution function is a table in the plan; beyond it each row sums it up.
+MOST_TABLED = 1000.0
 
 
 def _key(seed: int) -> Column:
@@ -47,6 +49,35 @@ def poisson_steps(mean: float) -> list[float]:
     return steps
 
 
+def poisson_start(mean: float) -> tuple[int, int, float]:
+    """(low, high, log of the probability of low): all but about e**-70 of the distribution.
+
+    The probabilities from low to high add up to 1. About 24 * sqrt(mean) numbers are looked at.
+    """
+    reach = 12 * math.sqrt(mean) + 30
+    low, high = max(0, math.floor(mean - reach)), math.ceil(mean + reach)
+    logs = [0.0]
+    for k in range(low + 1, high + 1):
+        logs.append(logs[-1] + math.log(mean) - math.log(k))
+    most = max(logs)
+    return low, high, -most - math.log(math.fsum(math.exp(x - most) for x in logs))
+
+
+def _summed(start: Column, u: Column) -> Column:
+    """How many k have a distribution function of at most ``u``, summed up from ``low`` to ``high``."""
+
+    def step(a: Column, k: Column) -> Column:
+        total = a["total"] + F.exp(a["log_p"])
+        return F.struct(
+            (a["log_p"] + start["log_mean"] - F.log(k + F.lit(1.0))).alias("log_p"),
+            total.alias("total"),
+            (a["n"] + (total <= u).cast("int")).alias("n"),
+        )
+
+    first = F.struct(start["log_p"].alias("log_p"), F.lit(0.0).alias("total"), start["low"].alias("n"))
+    return F.aggregate(F.sequence(start["low"], start["high"]), first, step)["n"]
+
+
 def rates(docs: DataFrame, weights: Mapping[str, float], size: int | None = None) -> dict[str, float]:
     """The repetition rate of each named source that has documents.
 
@@ -68,27 +99,35 @@ def replicate(
     """All columns of ``docs`` for every copy, with ``copy`` (from 0) and ``shuffle_key``, shuffled.
 
     ``size``: documents that the named sources shall have together; as many as now if not given.
-    The table of rates has at most one row for each weight given, so it is broadcast.
+    The table of rates has at most one row for each weight given, so it is broadcast. A row of it holds
+    the steps of a mean up to MOST_TABLED; of a larger one only where to start, and each document sums
+    up about 24 * sqrt(mean) steps, fewer than its copies.
     """
     docs = docs.drop("copy", "shuffle_key")
     found = rates(docs, weights, size)
-    of, per, n = fresh(docs, "rate_source", "rate_steps", "n_copies")
+    of, per, start, n = fresh(docs, "rate_source", "rate_steps", "rate_start", "n_copies")
     plain = F.array(*[F.lit(x) for x in poisson_steps(1.0)])
-    rows = [
-        F.struct(F.lit(s).alias(of), F.array(*[F.lit(x) for x in poisson_steps(r)]).alias(per))
-        for s, r in found.items()
-    ]
-    none = F.array().cast("array<struct<s:string,p:array<double>>>")
-    one = docs.sparkSession.range(1).select(F.inline(F.array(*rows) if rows else none).alias(of, per))
-    steps = F.coalesce(F.col(per), plain)
-    copies = F.size(F.filter(steps, lambda c: c <= uniform(_key(seed))))
+    kind = "struct<s:string,p:array<double>,t:struct<low:int,high:int,log_p:double,log_mean:double>>"
+
+    def row(source: str, mean: float) -> Column:
+        if mean <= MOST_TABLED:
+            return F.struct(F.lit(source), F.array(*[F.lit(x) for x in poisson_steps(mean)]), F.lit(None)).cast(kind)
+        values = F.struct(*[F.lit(x) for x in (*poisson_start(mean), math.log(mean))])
+        return F.struct(F.lit(source), F.lit(None), values).cast(kind)
+
+    rows = [row(s, r) for s, r in found.items()]
+    none = F.array().cast(f"array<{kind}>")
+    one = docs.sparkSession.range(1).select(F.inline(F.array(*rows) if rows else none).alias(of, per, start))
+    steps, u = F.coalesce(F.col(per), plain), uniform(_key(seed))
+    tabled = F.size(F.filter(steps, lambda c: c <= u))
+    copies = F.when(F.col(start).isNotNull(), _summed(F.col(start), u)).otherwise(tabled)
     return (
         docs.join(F.broadcast(one), F.col("source") == F.col(of), "left")
         .withColumn(n, copies)
         .where(F.col(n) > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
         .withColumn("shuffle_key", F.md5(F.concat(_key(seed), F.lit(":"), F.col("copy"))))
-        .drop(of, per, n)
+        .drop(of, per, start, n)
         .orderBy("shuffle_key", "doc_id", "copy")
     )
 

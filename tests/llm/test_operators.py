@@ -256,6 +256,22 @@ def test_mixing(spark, docs, rows):
     assert by_source["src0"] > 1.5 * by_source["src1"]
 
 
+def test_mixing_of_a_source_with_few_documents(spark, monkeypatch):
+    tabled, steps = [], mixing.poisson_steps
+    monkeypatch.setattr(mixing, "poisson_steps", lambda mean: tabled.append(mean) or steps(mean))
+    made = [(i, "text", "en", "rare" if i < 6 else "many", 4) for i in range(400)]
+    docs = spark.createDataFrame(made, SCHEMA)
+    weights, size = {"rare": 1.0, "many": 0.01}, 60000
+    got = Counter(r.doc_id for r in mixing.replicate(docs, weights, seed=7, size=size).collect())
+    assert max(tabled) <= mixing.MOST_TABLED
+    for doc_id, _, _, source, _ in made:
+        mean = size * weights[source] / 1.01 / (6 if source == "rare" else 394)
+        u = int(hashlib.md5(f"7:{doc_id}".encode()).hexdigest()[:13], 16) / 2**52
+        assert got[doc_id] == sum(c <= u for c in steps(mean))
+    low, high, log_p = mixing.poisson_start(1e7)
+    assert low < 1e7 < high and high - low < 80000 and log_p < -60
+
+
 PATTERNS = (
     (0, re.compile(secrets.ASSIGN, re.A), 6), (1, re.compile("AKIA[A-Z0-9]+"), 20), (2, re.compile("[0-9a-f]+"), 24)
 )
