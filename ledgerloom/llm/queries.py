@@ -12,6 +12,7 @@ from ledgerloom.llm import (
     inverted_index,
     language,
     licenses,
+    manifest,
     mixing,
     quality,
     secrets,
@@ -20,6 +21,7 @@ from ledgerloom.llm import (
     wordpieces,
 )
 from ledgerloom.llm.common import table
+from ledgerloom.llm.manifest_sql import MANIFEST_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: SQL for those queries that another engine can express.
@@ -142,3 +144,12 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(",", F.array_sort(F.array_distinct(F.concat(base, matched)))).alias("labels"),
         F.coalesce(best, F.lit(0.0)).alias("score"),
     )
+
+
+@query
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of each document; tampered ones don't fold to the root."""
+    return manifest.verified_manifest(table(spark, sf_dir, "documents"), fanout=2)
+
+
+SQL["op11_manifest"] = MANIFEST_SQL
