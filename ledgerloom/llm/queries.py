@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    codes,
     fingerprints,
     inverted_index,
     language,
@@ -18,8 +19,10 @@ from ledgerloom.llm import (
     secrets,
     simhash,
     substrings,
+    toxicity,
     wordpieces,
 )
+from ledgerloom.llm.codes_sql import CODES_SQL
 from ledgerloom.llm.common import table
 from ledgerloom.llm.manifest_sql import MANIFEST_SQL
 
@@ -153,3 +156,28 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op11_manifest"] = MANIFEST_SQL
+
+
+@query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each text; labels of a fifth of the documents are never seen."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", _held_out(5, 0))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.where("NOT held_out"), labels)
+    return toxicity.score(docs, model).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of each vector, under codebooks of two rounds over all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    books = codes.train(vectors, parts=16, entries=64, rounds=2, scale=256)
+    coded = codes.encode(vectors, books, scale=256).select("vec_id", "code", "error", "label")
+    return codes.with_label_error(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256")
+    )
+
+
+SQL["op13_codes"] = CODES_SQL
