@@ -50,22 +50,29 @@ LEXICONS = {
     "filth": "scum trash garbage disgusting filth vermin abschaum ekelhaft ordure dégoûtant basura asqueroso",
     "mockery": "clown clowns buffoon ridiculous lächerlich bouffon payaso ridículo",
 }
-PATTERNS = {
-    "threat": r"\b(?:kill yourself|drop dead|shut up|get lost|hate you|go to hell)\b",
-    "address": r"\byou(?:'re| are) (?:an? |such an? |so |all |nothing)",
-    "masked": r"[^\W\d_][*@$#]+[^\W\d_]",
-    "shout": r"!{3,}|\?!|!\?",
+#: Phrases, and what may stand inside a word or at its end.
+PHRASES = {
+    "threat": ("kill yourself", "drop dead", "shut up", "get lost", "hate you", "go to hell"),
+    "address": ("you are a ", "you are an ", "you are such ", "you're a ", "you're an ", "you're such "),
 }
+MARKS = {"masked": r"[^\W\d_][*@$#]+[^\W\d_]", "shout": r"!{3,}|\?!|!\?"}
 #: Voters with learnt words, and with learnt stems.
 WORD_VOTERS, STEM_VOTERS = 4, 4
-VOTERS = [*LEXICONS, *PATTERNS, *[f"words{i}" for i in range(WORD_VOTERS)], *[f"stems{i}" for i in range(STEM_VOTERS)]]
+VOTERS = [
+    *LEXICONS, *PHRASES, *MARKS,
+    *[f"words{i}" for i in range(WORD_VOTERS)], *[f"stems{i}" for i in range(STEM_VOTERS)],
+]
 #: Lengths of stems; a stem is written with a star.
 STEMS = (4, 5)
 MOST_DOCS, MOST_BYTES, MOST_WORDS = 4000, 1 << 16, 1024
 #: Words that a task remembers, and distinct words that it counts before it hands them on.
-REMEMBERED, COUNTED = 1 << 17, 1 << 18
+REMEMBERED, COUNTED = 1 << 18, 1 << 18
 _WORD = re.compile(r"[^\W\d_]+")
-_PATTERNS = [(len(LEXICONS) + i, re.compile(p)) for i, p in enumerate(PATTERNS.values())]
+_PHRASES = [
+    (VOTERS.index(v), p, re.compile(r"(?<!\w)" + re.escape(p) + r"(?!\w)" * p[-1].isalpha()))
+    for v, phrases in PHRASES.items() for p in phrases
+]
+_MARKS = [(VOTERS.index(v), re.compile(p)) for v, p in MARKS.items()]
 _LONGEST = 64
 
 
@@ -77,34 +84,50 @@ def terms(word: str) -> list[str]:
 
 @dataclass
 class Vocabulary:
-    """Number of each term, and the voter it belongs to, or -1."""
+    """Number of each term, and the voter it belongs to."""
 
     number: dict[str, int]
     voter: list[int]
 
+    def _hit(self, token: str) -> tuple[int, tuple[int, ...]]:
+        """Voters that fire on what stands between two spaces, and its terms."""
+        own = {self.number[t] for w in _WORD.findall(token) for t in terms(w) if t in self.number}
+        mask = 0
+        for i in own:
+            mask |= 1 << self.voter[i]
+        for voter, pattern in _MARKS:
+            if pattern.search(token):
+                mask |= 1 << voter
+        return mask, tuple(sorted(own))
+
     def reader(self):
-        """Set of voters that fire on a text, and numbers of its terms; words are remembered."""
+        """A function from a text to the set of voters that fire on it and the numbers of its terms.
+
+        It remembers what stands between two spaces: in one set what nothing fires on, so that
+        most of a text is done by the difference of two sets.
+        """
         known: dict[str, tuple[int, tuple[int, ...]]] = {}
+        nothing: set[str] = set()
 
         def read(text: str | None) -> tuple[int, set[int]]:
             low = (text or "").lower()
             mask, found = 0, set()
-            for word in set(_WORD.findall(low)):
-                hit = known.get(word)
+            for token in set(low.split()) - nothing:
+                hit = known.get(token)
                 if hit is None:
-                    own = tuple(self.number[t] for t in terms(word) if t in self.number)
-                    votes = 0
-                    for i in own:
-                        votes |= 1 << self.voter[i] if self.voter[i] >= 0 else 0
-                    if len(known) >= REMEMBERED:
+                    hit = self._hit(token)
+                    if len(known) + len(nothing) >= REMEMBERED:
                         known.clear()
-                    hit = (votes, own)
-                    if len(word) <= _LONGEST:
-                        known[word] = hit
+                        nothing.clear()
+                    if len(token) <= _LONGEST:
+                        if hit[0] or hit[1]:
+                            known[token] = hit
+                        else:
+                            nothing.add(token)
                 mask |= hit[0]
                 found.update(hit[1])
-            for voter, pattern in _PATTERNS:
-                if pattern.search(low):
+            for voter, phrase, pattern in _PHRASES:
+                if phrase in low and pattern.search(low):
                     mask |= 1 << voter
             return mask, found
 
@@ -177,7 +200,7 @@ def fit_labels(counts: dict[int, float], gold: dict[tuple[int, int], float], rou
     seen = np.array([counts.get(int(p), 0.0) for p in every])
     known = np.array([[gold.get((int(p), y), 0.0) for p in every] for y in (0, 1)])
     # To begin with, a voter on a text with a label is what it is; a given one else is assumed to be right.
-    toxic = np.clip(0.02 + 0.9 * (votes[:, : len(LEXICONS)].sum(axis=1) > 0), 0, 1)
+    toxic = 0.02 + 0.9 * (votes[:, : len(LEXICONS)].sum(axis=1) > 0)
     both = known.sum(axis=0)
     if known.sum(axis=1).min() > 0:
         # By Bayes from the labels of the set, else from those of its voters.
@@ -345,7 +368,7 @@ def vocabulary(learnt: list[str]) -> Vocabulary:
             if word not in number:
                 number[word] = len(voter)
                 voter.append(v)
-    first = len(LEXICONS) + len(PATTERNS)
+    first = len(LEXICONS) + len(PHRASES) + len(MARKS)
     for term in learnt:
         if term not in number:
             stem, dealt = term.endswith("*"), zlib.crc32(term.rstrip("*").encode())
