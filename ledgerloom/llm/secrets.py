@@ -11,7 +11,8 @@ random string being as odd. Over the corpus, strings that are not random are tol
 Benjamini-Hochberg rule, apart for each encoding and class of length, since the tests of longer
 strings have more power; what isn't rejected is reported, unless a pattern's match covers it.
 
-Positions are code points. Null and empty texts have no secrets; repeated rows are scanned alike and
+Time grows with the length of a text and of a run, and with n log n of the matches in it, not with
+their squares. Positions are code points. Null and empty texts have no secrets; repeated rows are scanned alike and
 count as often as they are there. An empty table gives an empty result.
 """
 
@@ -52,6 +53,8 @@ FALSE_DISCOVERY = 0.05
 #: P-values are rounded up to steps of a tenth of a decade, so their distribution is a small table.
 STEPS, LAST_STEP = 10, 3000
 MARK = "[secret]"
+#: Code points of the blocks that a text is cut from.
+BLOCK = 4096
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -63,24 +66,40 @@ def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
 
 
+#: Distances of running values: a value that has taken in the 2^k before it takes in as many more.
+_POWERS = [1 << k for k in range(31)]
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running ``join`` of an array by doubling: n log n steps, where appending would copy n^2 / 2."""
+
+    def double(a: Column, p: Column) -> Column:
+        return F.transform(a, lambda x, i: F.coalesce(join(x, F.get(a, i - p)), x))
+
+    return _let(
+        values,
+        lambda v: F.aggregate(
+            F.filter(F.array(*[F.lit(p) for p in _POWERS]), lambda p: p < F.size(v)), v, double
+        ),
+    )
+
+
+def _larger(x: Column, before: Column) -> Column:
+    return F.when(before.isNotNull(), F.greatest(x, before))
+
+
 def _places(text: Column, pattern: str) -> Column:
-    """(start, end) of the matches, from the lengths of matches and of what stands between them."""
+    """(start, end, match) of the matches, from the lengths of matches and of what stands between them."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
 
     def walk(matches: Column, gaps: Column) -> Column:
-        def step(a: Column, i: Column) -> Column:
-            start = a["at"] + F.length(F.get(gaps, i))
-            end = start + F.length(F.get(matches, i))
-            return F.struct(
-                end.alias("at"),
-                F.concat(a["spans"], F.array(F.struct(start.alias("start"), end.alias("end")))).alias("spans"),
-            )
+        steps = F.transform(matches, lambda m, i: F.length(F.get(gaps, i)) + F.length(m))
+
+        def place(m: Column, end: Column) -> Column:
+            return F.struct((end - F.length(m)).alias("start"), end.alias("end"), m.alias("match"))
 
-        none = F.array().cast("array<struct<start:int,end:int>>")
-        first = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-        several = F.aggregate(F.sequence(F.lit(0), F.size(matches) - 1), first, step)["spans"]
-        return F.when(F.size(matches) > 0, several).otherwise(none)
+        return F.zip_with(matches, _running(steps, lambda x, before: x + before), place)
 
     return _let(found, lambda m: _let(between, lambda g: walk(m, g)))
 
@@ -134,19 +153,16 @@ def _by_encoding(encoding: Column, values: dict[str, object]) -> Column:
     return reduce(lambda c, e: c.when(encoding == e, F.lit(values[e])), others, start)
 
 
-def _codes(run: Column, encoding: Column) -> Column:
-    """Places of the symbols in the alphabet, from 1."""
+def _plain(run: Column, encoding: Column) -> Column:
+    """The symbols of a run as its alphabet writes them."""
     body = F.translate(F.rtrim(run, F.lit("=")), "-_", "+/")
-    plain = (
-        F.when(encoding == "hex", F.lower(body)).when(encoding == "base64", body).otherwise(F.upper(body))
-    )
+    return F.when(encoding == "hex", F.lower(body)).when(encoding == "base64", body).otherwise(F.upper(body))
+
+
+def _codes(plain: Column, encoding: Column) -> Column:
+    """Places of the symbols in the alphabet, from 1."""
     alphabet = _by_encoding(encoding, ALPHABETS)
-    return _let(
-        plain,
-        lambda p: F.transform(
-            F.sequence(F.lit(1), F.length(p)), lambda i: F.position(F.substr(p, i, F.lit(1)), alphabet)
-        ),
-    )
+    return F.transform(F.split(plain, ""), lambda c: F.position(c, alphabet))
 
 
 def _erfc(x: Column) -> Column:
@@ -157,14 +173,15 @@ def _erfc(x: Column) -> Column:
     return poly * t * F.exp(-x * x)
 
 
-def _p_value(codes: Column, encoding: Column) -> Column:
+def _p_value(plain: Column, codes: Column, encoding: Column) -> Column:
     """Of three tests together, each a standard normal under randomness: chi-squared of degree 3."""
     size = _by_encoding(encoding, {e: float(len(a)) for e, a in ALPHABETS.items()})
     n = F.size(codes).cast("double")
+    # How often a symbol occurs is what goes with it.
     squares = _sum(
         F.transform(
-            F.sequence(F.lit(1), size.cast("int")),
-            lambda a: F.pow(F.size(F.filter(codes, lambda c: c == a)).cast("double"), F.lit(2.0)),
+            F.split(_by_encoding(encoding, ALPHABETS), ""),
+            lambda a: F.pow((F.size(codes) - F.length(F.replace(plain, a, F.lit("")))).cast("double"), F.lit(2.0)),
         )
     )
     uniform = (squares * size / n - n - (size - 1)) / F.sqrt(2 * (size - 1) * (n - 1) / n)
@@ -207,10 +224,13 @@ def random_runs(text: Column) -> Column:
     """(start, end, encoding, length class, step of the p-value) of every run with an encoding."""
 
     def tested(place: Column) -> Column:
-        run = F.substr(text, place["start"] + 1, place["end"] - place["start"])
+        run = place["match"]
 
         def row(encoding: Column) -> Column:
-            p = _let(_codes(run, encoding), lambda c: _p_value(c, encoding))
+            p = _let(
+                _plain(run, encoding),
+                lambda own: _let(_codes(own, encoding), lambda c: _p_value(own, c, encoding)),
+            )
             step = F.least(F.floor(-F.log10(F.greatest(p, F.lit(1e-300))) * STEPS), F.lit(LAST_STEP))
             symbols = F.length(F.rtrim(run, F.lit("=")))
             length = F.least(F.floor(F.log2(symbols)), F.lit(LONGEST_CLASS))
@@ -270,11 +290,24 @@ def with_spans(
 
     number = F.lit(KINDS.index("random"))
     plain = docs.drop(*names).withColumn(names[0], base_spans(text))
-    kept = F.filter(
-        random_runs(text),
-        lambda r: ~rejected(r)
-        & ~F.exists(
-            F.col(names[0]), lambda b: (b["start"] <= r["start"]) & (r["end"] <= b["end"])
+    base = F.col(names[0])
+
+    def kept_runs(starts: Column, tops: Column) -> Column:
+        """Runs that no base span covers: of the spans that start before, one ends last."""
+        def covered(r: Column) -> Column:
+            before = F.aggregate(
+                F.filter(F.array(*[F.lit(p) for p in reversed(_POWERS)]), lambda p: p <= F.size(starts)),
+                F.lit(0),
+                lambda a, p: F.when(F.get(starts, a + p - 1) <= r["start"], a + p).otherwise(a),
+            )
+            return F.coalesce(F.get(tops, before - 1) >= r["end"], F.lit(False))
+
+        return F.filter(random_runs(text), lambda r: ~rejected(r) & ~covered(r))
+
+    kept = _let(
+        F.transform(base, lambda b: b["start"]),
+        lambda starts: _let(
+            _running(F.transform(base, lambda b: b["end"]), _larger), lambda tops: kept_runs(starts, tops)
         ),
     )
     spans = F.transform(
@@ -304,19 +337,30 @@ def redact(docs: DataFrame, mark: str = MARK, level: float = FALSE_DISCOVERY) ->
     spans = F.array_sort(F.concat(base, random))
     text = F.col("text")
 
-    def step(a: Column, s: Column) -> Column:
-        apart = s["start"] >= a["at"]
-        piece = F.concat(F.substr(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark))
-        return F.struct(
-            F.when(apart, F.concat(a["out"], piece)).otherwise(a["out"]).alias("out"),
-            F.greatest(a["at"], s["end"]).alias("at"),
-        )
-
-    first = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    cut = _let(
-        F.aggregate(spans, first, step), lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1, F.length(text)))
+    def piece(blocks: Column, start: Column, end: Column) -> Column:
+        """Part of the text, without walking there from its beginning."""
+        first = F.floor(start / BLOCK)
+        joined = F.array_join(F.slice(blocks, first + 1, F.floor(end / BLOCK) - first + 1), "")
+        return F.substr(joined, (start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))
+
+    def cut(own: Column, tops: Column, blocks: Column) -> Column:
+        """What stands before each span that begins behind all spans before it, and after the last."""
+        def before(s: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(tops, i - 1), F.lit(0))
+            return F.when(s["start"] >= at, F.concat(piece(blocks, at, s["start"]), F.lit(mark)))
+
+        parts = F.array_join(F.transform(own, before), "")
+        return F.concat(parts, piece(blocks, F.get(tops, F.size(tops) - 1), F.length(text)))
+
+    whole = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    redacted = _let(
+        spans,
+        lambda own: _let(
+            _running(F.transform(own, lambda s: s["end"]), _larger),
+            lambda tops: _let(whole, lambda blocks: cut(own, tops, blocks)),
+        ),
     )
-    found = found.withColumn(new, F.when(F.size(base) + F.size(random) > 0, cut))
+    found = found.withColumn(new, F.when(F.size(base) + F.size(random) > 0, redacted))
     columns = [
         F.coalesce(new, "text").alias(c) if c == "text"
         else F.coalesce(F.length(new).cast("long"), F.col(c)).alias(c) if c == "n_chars"
