@@ -13,7 +13,6 @@ if no language was learnt. Repeated rows are scored alike.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,9 +28,8 @@ from ledgerloom.llm.common import chunks, fresh
 BITS = 12
 BINS = 2 << BITS
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
-#: The same as a pattern on text.
-LETTER_PATTERN = r"[\p{L}\p{Nl}\p{No}]"
+#: A letter, as Python's ``isalpha`` takes it: numerals such as the Roman ones and fractions are none.
+LETTER_PATTERN = r"\p{L}"
 _PIECE = 1 << 20
 
 
@@ -165,7 +163,7 @@ def predict(
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 texts = part.column("text").to_pylist()
-                known = [bool(t) and bool(model.languages) and bool(_LETTER.search(t)) for t in texts]
+                known = [bool(t) and bool(model.languages) and any(map(str.isalpha, t)) for t in texts]
                 label, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 unsure = np.zeros(len(texts), bool)
                 if any(known):
