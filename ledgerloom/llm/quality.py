@@ -10,7 +10,7 @@ texts of at most ``most_bytes`` bytes; every line of one has its document's labe
 driver are the line features of the sample. Scoring reads every line of every text.
 
 Null, empty and blank texts have one empty line and get its score. Without labels all
-scores are the share 0.5. A row repeated in the labels counts once, the smallest label winning.
+scores are the share 0.5. Labels may be numbers of any type or digits. A row repeated in the labels counts once, the smallest label winning.
 """
 
 from __future__ import annotations
@@ -174,7 +174,9 @@ def train(
     docs: DataFrame, labels: DataFrame, most_docs: int = MOST_DOCS, most_bytes: int = MOST_BYTES
 ) -> ChainModel:
     """Learns from a bounded sample of the rows of ``docs`` that have a label 0 or 1."""
-    labels = labels.where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    # Labels may be numbers of any type, or digits.
+    given = F.col("quality").try_cast("double")
+    labels = labels.where(given.isin(0.0, 1.0)).groupBy("doc_id").agg(F.min(given.cast("int")).alias("quality"))
     # Chosen among the labels by hash, twice as many as wanted at most, so no text is shuffled.
     labels = labels.withColumn("key", F.xxhash64("doc_id"))
     n = labels.count()

@@ -277,9 +277,9 @@ def fit_linear(rows: list[tuple[list[int], float, float]], n: int, rounds: int =
 
 def _sample(docs: DataFrame, labels: DataFrame, most_docs: int, most_bytes: int) -> tuple[DataFrame, list[int]]:
     """Texts with their label, at most ``most_docs`` ids of each, and how many ids have each label."""
-    given = F.col("toxic").try_cast("string").try_cast("int").alias("y")
-    labels = labels.select("doc_id", given).where("y IN (0, 1)")
-    labels = labels.groupBy("doc_id").agg(F.max("y").alias("y")).where(F.col("doc_id").isNotNull())
+    given = F.col("toxic").try_cast("double")
+    labels = labels.where(given.isin(0.0, 1.0) & F.col("doc_id").isNotNull())
+    labels = labels.groupBy("doc_id").agg(F.max(given.cast("int")).alias("y"))
     found = {r.y: r.n for r in labels.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = [found.get(y, 0) for y in (0, 1)]
     # Chosen among the labels by hash, so that no text is shuffled to choose it.
