@@ -260,7 +260,8 @@ def with_label_error(coded: DataFrame, label: str = "label", error: str = "error
     coded = materialise(coded.drop(total), "codes")
     (own,) = fresh(coded, "_label")
     most = F.lit(_LONGEST).cast("decimal(38,0)")
+    summed = F.sum(F.col(error).cast("decimal(20,0)"))
     sums = coded.groupBy(F.col(label).alias(own)).agg(
-        F.least(F.sum(F.col(error).cast("decimal(20,0)")), most).cast("long").alias(total)
+        F.when(summed > most, most).otherwise(summed).cast("long").alias(total)
     )
     return coded.join(sums, coded[label].eqNullSafe(sums[own])).drop(own)

@@ -20,7 +20,7 @@ scoring read every text whole.
 Null and empty texts have no word and get the score of a text on which no voter fires. Repeated
 labels of an id count once, toxic winning; of an id with several texts the smallest text is learnt
 from. Null ids are never learnt from. Labels are numbers or digits; others are no label. Without
-labels the given lexicons alone vote, with assumed accuracies to start from. An empty table gives no rows.
+labels the given lexicons alone vote, each taken to be right five times to begin with. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -421,6 +421,8 @@ def train(
     gold: dict[tuple[int, int], float] = {}
     for votes, _, y in rows:
         gold[votes, y] = gold.get((votes, y), 0.0) + stands[y]
+    if not gold:  # a given voter alone is taken to be right
+        gold = {(1 << v, 1): 5.0 for v in range(len(LEXICONS))} | {(0, 0): 20.0}
     model = fit_labels(count_votes(docs, words), gold)
     n = len(words.voter)
     if not rows:  # each given word is taken for what its voter says of it
