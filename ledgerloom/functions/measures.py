@@ -21,7 +21,7 @@ KEY_NULL = "_dbt_utils_surrogate_key_null_"
 # factor the result is exactly DECIMAL(38,21), so nothing is rounded.
 AMOUNT = T.DecimalType(33, 18)
 CONVERTED = T.DecimalType(38, 21)
-AMOUNT_LIMIT = 1e15  # what has more than 15 whole digits does not fit
+AMOUNT_LIMIT = 1e15  # what has more than 15 whole digits does not fit, and is carried as a double
 
 
 def to_amount(column: Column | str) -> Column:
@@ -29,6 +29,18 @@ def to_amount(column: Column | str) -> Column:
     return _col(column).try_cast(AMOUNT)
 
 
+def finite(column: Column | str) -> Column:
+    """The number as a double; NULL where there is none, or none that is finite."""
+    number = _col(column).try_cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+
+
+def large_amount(column: Column | str) -> Column:
+    """The number, as a double, if the exact decimal can't hold it."""
+    number = finite(column)
+    return F.when(F.abs(number) >= AMOUNT_LIMIT, number)
+
+
 def epoch_to_timestamp(column: Column | str) -> Column:
     return F.timestamp_seconds(_col(column))
 
@@ -39,11 +51,21 @@ def surrogate_key(*columns: Column | str) -> Column:
     return F.md5(F.concat_ws(KEY_SEPARATOR, *parts))
 
 
+def _in_kcal(name: Column | str, unit: Column | str) -> Column:
+    return (_col(name) == "energy") & (F.lower(_col(unit)) == "kcal")
+
+
 def energy_in_kj(name: Column | str, unit: Column | str, amount: Column | str) -> Column:
     """The generic energy entry converted from kcal; every other amount unchanged."""
     amount = _col(amount)
-    in_kcal = (_col(name) == "energy") & (F.lower(_col(unit)) == "kcal")
-    return F.when(in_kcal, amount * F.lit(KJ_PER_KCAL)).otherwise(amount.cast(CONVERTED))
+    converted = amount * F.lit(KJ_PER_KCAL)
+    return F.when(_in_kcal(name, unit), converted).otherwise(amount.cast(CONVERTED))
+
+
+def large_energy_in_kj(name: Column | str, unit: Column | str, amount: Column | str) -> Column:
+    """The same for an amount that is carried as a double."""
+    amount = _col(amount)
+    return F.when(_in_kcal(name, unit), amount * float(KJ_PER_KCAL)).otherwise(amount)
 
 
 def nutrition_basis(stated: Column | str, unit: Column | str) -> Column:

@@ -239,12 +239,15 @@ class ParentCheck(Check):
 # --- kinds of checks ---------------------------------------------------------
 
 
-def not_null(layer: str, table: str, column: str, share: str | None = None) -> Check:
-    """No NULL, or at most ``share`` of all rows."""
+def not_null(
+    layer: str, table: str, column: str, share: str | None = None, instead: str | None = None
+) -> Check:
+    """No NULL, or at most ``share`` of all rows; a value in the column ``instead`` will do."""
     limits = Limits() if share is None else Limits(error_above=None, error_share=Decimal(share))
+    missing = F.col(column).isNull()
     return RowCheck(
         f"not_null_{table}_{column}", layer, table, "not_null", "completeness", limits,
-        bad=F.col(column).isNull(),
+        bad=missing & F.col(instead).isNull() if instead else missing,
     )
 
 
@@ -274,10 +277,16 @@ def value_between(
     limits: Limits = Limits(),
     only: Column | None = None,
     name: str | None = None,
+    instead: str | None = None,
 ) -> Check:
-    """Inclusive range; ``only`` restricts the rows it applies to."""
+    """Inclusive range; ``only`` restricts the rows it applies to.
+
+    ``instead`` names the column that holds the value where ``column`` can't.
+    """
     scope = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     outside = (F.col(column) < low) | (F.col(column) > high)
+    if instead:
+        outside = F.coalesce(outside, (F.col(instead) < low) | (F.col(instead) > high))
     return RowCheck(
         name or f"value_between_{table}_{column}_{low}_{high}", layer, table, "value_between",
         "validity", limits,
@@ -384,21 +393,33 @@ def component_sum_at_most(
     components: Sequence[str],
     bound: int,
     limits: Limits,
+    instead: str | None = None,
 ) -> Check:
-    """Keys that have all components, and whose components sum to more than ``bound``."""
+    """Keys that have all components, and whose components sum to more than ``bound``.
+
+    An amount in the column ``instead`` adds to the sum as a double.
+    """
     chosen = F.col(name).isin(*components)
     # One flag per component adds up to the distinct count and combines before the shuffle.
     present = [F.max(F.when(F.col(name) == c, 1).otherwise(0)) for c in components]
     total, n_present = (f"{part}_{'_'.join(components)}" for part in (amount, "n"))
     complete = F.col(n_present) == len(components)
+    above = F.col(total) > bound
+    more = {}
+    if instead:
+        large = f"{instead}_{'_'.join(components)}"
+        more[large] = F.sum(F.when(chosen, F.col(instead)))
+        both = F.col(large) + F.coalesce(F.col(total).cast("double"), F.lit(0.0))
+        above = F.when(F.col(large).isNotNull(), both > bound).otherwise(above)
     return KeyCheck(
         f"component_sum_{table}_{amount}", layer, table, "component_sum", "consistency", limits,
         keys=(key,),
         per_key={
             total: F.sum(F.when(chosen, F.col(amount))),
             n_present: reduce(lambda a, b: a + b, present),
+            **more,
         },
-        rows=chosen, total=F.count_if(complete), bad=complete & (F.col(total) > bound),
+        rows=chosen, total=F.count_if(complete), bad=complete & above,
     )
 
 
@@ -414,18 +435,31 @@ def ratio_consistent(
     relative: str,
     absolute: str,
     limits: Limits,
+    instead: str | None = None,
 ) -> Check:
-    """Keys where ``whole`` is not ``part`` times ``ratio`` within the tolerance."""
+    """Keys where ``whole`` is not ``part`` times ``ratio`` within the tolerance.
+
+    Where the column ``instead`` holds one of the two, they are compared as doubles.
+    """
     both = F.col(whole).isNotNull() & F.col(part).isNotNull()
+    off = outside_tolerance(whole, part, ratio, relative, absolute)
+    more = {}
+    if instead:
+        larges = {n: f"{n}_{instead}" for n in (whole, part)}
+        more = {alias: F.max(F.when(F.col(name) == n, F.col(instead))) for n, alias in larges.items()}
+        a, b = (F.coalesce(F.col(larges[n]), F.col(n).cast("double")) for n in (whole, part))
+        both = a.isNotNull() & b.isNotNull()
+        apart = F.abs(a - b * float(ratio)) > F.greatest(a * float(relative), F.lit(float(absolute)))
+        off = F.when(F.coalesce(*larges.values()).isNotNull(), apart).otherwise(off)
     return KeyCheck(
         f"ratio_{table}_{whole}_{part}", layer, table, "ratio", "consistency", limits,
         keys=(key,),
         per_key={
             whole: F.max(F.when(F.col(name) == whole, F.col(amount))),
             part: F.max(F.when(F.col(name) == part, F.col(amount))),
+            **more,
         },
-        rows=F.col(name).isin(whole, part), total=F.count_if(both),
-        bad=both & outside_tolerance(whole, part, ratio, relative, absolute),
+        rows=F.col(name).isin(whole, part), total=F.count_if(both), bad=both & off,
     )
 
 

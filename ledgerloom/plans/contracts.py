@@ -72,8 +72,14 @@ def fact_contract() -> Contract:
         return check.named(f"contract_{check.name}")
 
     constraints = [
-        *[c.not_null(layer, fact, name) for name in schemas.FACT.names],
-        c.expression_is_true(layer, fact, "not_negative", F.col("value_per_100") >= 0),
+        *[
+            c.not_null(layer, fact, name, instead=suites.LARGE if name == "value_per_100" else None)
+            for name in schemas.FACT.names
+            if name != suites.LARGE
+        ],
+        c.expression_is_true(
+            layer, fact, "not_negative", F.coalesce(F.col("value_per_100") >= 0, F.col(suites.LARGE) >= 0)
+        ),
         # The primary key and the grain rule are one and the same.
         c.unique_combination(layer, fact, "product_key", "nutrient"),
     ]

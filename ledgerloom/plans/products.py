@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.measures import (
-    AMOUNT_LIMIT,
     energy_in_kj,
     epoch_to_timestamp,
+    finite,
+    large_amount,
+    large_energy_in_kj,
     nutrition_basis,
     surrogate_key,
     to_amount,
@@ -70,11 +72,12 @@ def _measures(df: DataFrame, *keep: str, lowest: float | None = None) -> DataFra
     """Entries of ``nutriments`` that hold an amount in a mass or energy unit.
 
     Whether an amount is usable is decided on the number as it came, so the
-    exact decimal is made once, and only for the entries that stay.
+    exact decimal is made once, and only for the entries that stay. An amount
+    beyond the decimal's digits is in ``value_large`` instead.
     """
     entry = F.col("entry")
-    number = entry["100g"].try_cast("double")
-    usable = (F.abs(number) < AMOUNT_LIMIT) & F.lower(entry["unit"]).isin(*MEASURE_UNITS)
+    number = finite(entry["100g"])
+    usable = number.isNotNull() & F.lower(entry["unit"]).isin(*MEASURE_UNITS)
     if lowest is not None:
         usable = usable & (number >= lowest)
     entries = df.select(*keep, F.explode("nutriments").alias("entry")).where(usable)
@@ -82,6 +85,7 @@ def _measures(df: DataFrame, *keep: str, lowest: float | None = None) -> DataFra
         *keep,
         entry["name"].alias("nutrient"),
         to_amount(entry["100g"]).alias("value_per_100"),
+        large_amount(entry["100g"]).alias("value_large"),
         unit_label(entry["unit"]).alias("unit"),
     )
 
@@ -92,14 +96,9 @@ def stg_product_nutrients(products: DataFrame) -> DataFrame:
 
 
 def rejected_amounts(products: DataFrame) -> DataFrame:
-    """Entries in a measure unit whose amount staging can't carry, with the reason."""
+    """Entries in a measure unit without an amount that staging can carry, with the reason."""
     entry = F.col("entry")
-    number = entry["100g"].try_cast("double")
-    reason = (
-        F.when(entry["100g"].isNull(), "missing")
-        .when(number.isNull() | F.isnan(number), "no number")
-        .when(F.abs(number) >= AMOUNT_LIMIT, "too large")
-    )
+    reason = F.when(entry["100g"].isNull(), "missing").when(finite(entry["100g"]).isNull(), "no number")
     entries = products.select("barcode", F.explode("nutriments").alias("entry"))
     return entries.where(F.lower(entry["unit"]).isin(*MEASURE_UNITS) & reason.isNotNull()).select(
         "barcode", entry["name"].alias("nutrient"), entry["100g"].cast("string").alias("amount"),
@@ -205,6 +204,7 @@ def fct_nutrition(keyed: DataFrame, seeds: Seeds) -> DataFrame:
             "product_key",
             "nutrient",
             energy_in_kj("nutrient", "unit", "value_per_100").alias("value_per_100"),
+            large_energy_in_kj("nutrient", "unit", "value_large").alias("value_large"),
             F.col("standard_unit").alias("unit"),
             "basis",
             "category_key",

@@ -1,4 +1,4 @@
-"""The checks of the product datasets: 12 on the raw load, 43 on the models, freshness of the source."""
+"""The checks of the product datasets: 12 on the raw load, 45 on the models, freshness of the source."""
 
 from __future__ import annotations
 
@@ -39,6 +39,9 @@ UNITS = ("g", "kcal", "kJ")
 MACRONUTRIENTS = ("fat", "carbohydrates", "proteins", "fiber", "salt")
 MACRO_BOUND = 105
 SALT_PER_SODIUM, RELATIVE_TOLERANCE, ABSOLUTE_TOLERANCE = "2.5", "0.15", "0.02"
+#: Where an amount is that the exact decimal can't hold; any is told.
+LARGE = "value_large"
+ANY_LIMITS = Limits(warn_above=0, error_above=None)
 BARCODE_LIMITS = Limits(warn_above=0, error_above=1000)
 MASS_LIMITS = Limits(warn_above=0, error_above=800)
 KCAL_LIMITS = Limits(warn_above=0, error_above=200)
@@ -115,7 +118,7 @@ def with_mass_flag(fact: DataFrame, seeds: Seeds) -> DataFrame:
 
 
 def model_checks() -> list[Check]:
-    """The 43 checks on seeds, staging, intermediate and marts.
+    """The 45 checks on seeds, staging, intermediate and marts.
 
     ``fct_nutrition`` must carry ``is_mass``, see ``with_mass_flag``.
     """
@@ -128,7 +131,9 @@ def model_checks() -> list[Check]:
         c.accepted_values("staging", stg, "nutriscore_grade", GRADES),
         c.not_null("staging", nutrients, "barcode"),
         c.not_null("staging", nutrients, "nutrient"),
-        c.not_null("staging", nutrients, "value_per_100"),
+        c.not_null("staging", nutrients, "value_per_100", instead=LARGE),
+        c.expression_is_true("staging", nutrients, "amount_size", F.col(LARGE).isNull(), ANY_LIMITS),
+        c.expression_is_true("staging", "rejected_amounts", "number", F.col("reason") == "missing"),
         c.unique_combination("staging", nutrients, "barcode", "nutrient"),
         c.unique("intermediate", categorised, "barcode"),
         c.not_null("intermediate", categorised, "barcode"),
@@ -148,7 +153,7 @@ def model_checks() -> list[Check]:
         c.not_null("marts", fact, "product_key"),
         c.relationship("marts", fact, "product_key", product, "product_key"),
         c.not_null("marts", fact, "nutrient"),
-        c.not_null("marts", fact, "value_per_100"),
+        c.not_null("marts", fact, "value_per_100", instead=LARGE),
         mass_range(MASS_LIMITS),
         kcal_range(KCAL_LIMITS),
         c.accepted_values("marts", fact, "unit", UNITS),
@@ -157,11 +162,11 @@ def model_checks() -> list[Check]:
         c.unique_combination("marts", fact, "product_key", "nutrient"),
         c.component_sum_at_most(
             "marts", fact, "product_key", "nutrient", "value_per_100",
-            MACRONUTRIENTS, MACRO_BOUND, MACRO_LIMITS,
+            MACRONUTRIENTS, MACRO_BOUND, MACRO_LIMITS, instead=LARGE,
         ),
         c.ratio_consistent(
             "marts", fact, "product_key", "nutrient", "value_per_100", "salt", "sodium",
-            SALT_PER_SODIUM, RELATIVE_TOLERANCE, ABSOLUTE_TOLERANCE, SALT_LIMITS,
+            SALT_PER_SODIUM, RELATIVE_TOLERANCE, ABSOLUTE_TOLERANCE, SALT_LIMITS, instead=LARGE,
         ),
         c.unique("seed", "category_taxonomy", "category_l2"),
         c.not_null("seed", "category_taxonomy", "category_l2"),
@@ -178,7 +183,7 @@ def mass_range(limits: Limits, layer: str = "marts") -> Check:
     """Amounts of mass nutrients lie within 0 and 100."""
     return c.value_between(
         layer, "fct_nutrition", "value_per_100", 0, 100, limits,
-        only=F.col("is_mass"), name="value_between_fct_nutrition_mass",
+        only=F.col("is_mass"), name="value_between_fct_nutrition_mass", instead=LARGE,
     )
 
 
@@ -186,7 +191,7 @@ def kcal_range(limits: Limits, layer: str = "marts") -> Check:
     """Energy in kcal lies within 0 and 900."""
     return c.value_between(
         layer, "fct_nutrition", "value_per_100", 0, 900, limits,
-        only=F.col("nutrient") == "energy-kcal", name="value_between_fct_nutrition_kcal",
+        only=F.col("nutrient") == "energy-kcal", name="value_between_fct_nutrition_kcal", instead=LARGE,
     )
 
 

@@ -25,9 +25,9 @@ def share_limit(share: str) -> dict[str, str]:
     return {"error": f"n_failed > n_total * CAST({share} AS DECIMAL(9,6))"}
 
 
-def not_null(layer, tab, col, **limit) -> str:
+def not_null(layer, tab, col, instead="NULL", **limit) -> str:
     return line(f"not_null_{tab}_{col}", layer, "not_null", "completeness", tab, ROWS,
-                 f"count(*) FILTER ({col} IS NULL)", **limit)
+                 f"count(*) FILTER ({col} IS NULL AND {instead} IS NULL)", **limit)
 
 
 def unique(layer, tab, col, failed="count(*) FILTER (n > 1)") -> str:
@@ -48,6 +48,11 @@ def accepted(layer, tab, col, allowed) -> str:
                  f"count(DISTINCT {col}) FILTER ({col} NOT IN ({listed}))")
 
 
+def told() -> dict[str, str]:
+    """Never an error."""
+    return {"error": "false", "warn": "n_failed > 0"}
+
+
 def expression(layer, tab, name, holds, label=None, **limit) -> str:
     return line(label or f"expression_{tab}_{name}", layer, "expression_is_true", "validity", tab, ROWS,
                  f"count(*) FILTER (NOT ({holds}))", **limit)
@@ -63,9 +68,10 @@ def relationship(layer, tab, col, parent, parent_col, nulls=False, name=None) ->
                  "count(*) FILTER (k IS NULL)")
 
 
-def between(name, layer, tab, scope, col, low, high, **limit) -> str:
+def between(name, layer, tab, scope, col, low, high, instead="NULL", **limit) -> str:
     return line(name, layer, "value_between", "validity", f"(SELECT * FROM {tab} WHERE {scope})", ROWS,
-                 f"count(*) FILTER ({col} < {low} OR {col} > {high})", **limit)
+                 f"count(*) FILTER ({col} < {low} OR {col} > {high} OR {instead} < {low} OR {instead} > {high})",
+                 **limit)
 
 
 def component_sum(layer, tab, key, name, amount, parts, bound, **limit) -> str:

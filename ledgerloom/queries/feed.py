@@ -67,9 +67,11 @@ _ENTRIES_SQL = """
     struct_pack(name := 'nova-group',
         "100g" := CAST(l_linenumber AS DECIMAL(15,2)) * 1.0000, unit := ''),
     struct_pack(name := 'alcohol', "100g" := t * 100.0000, unit := '% vol'),
-    struct_pack(name := 'biotin', "100g" := d * 1.0000, unit := NULL)
+    struct_pack(name := 'biotin', "100g" := d * 1.0000, unit := NULL),
+    struct_pack(name := 'water', "100g" := CASE q WHEN 50 THEN 1000000000000000
+        WHEN 49 THEN 200000000000000000000 END, unit := CASE WHEN q >= 49 THEN 'g' ELSE '' END)
 """
-_NUTRIMENTS_SQL = 'STRUCT(name VARCHAR, "100g" DECIMAL(33,18), unit VARCHAR)[]'
+_NUTRIMENTS_SQL = 'STRUCT(name VARCHAR, "100g" DECIMAL(38,17), unit VARCHAR)[]'
 _TAGS_SQL = "MAP {" + ", ".join(f"'{w}': '{t}'" for w, t in WORD_TAGS.items()) + "}"
 
 FEED_SQL = f"""
@@ -172,6 +174,7 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _entry("nova-group", line, ""),
         _entry("alcohol", t * 100, "% vol"),
         _entry("biotin", d, None),
+        _entry("water", F.when(q == 50, 1e15).when(q == 49, 2e20), F.when(q >= 49, "g").otherwise("")),
     ]
     repeated = _entry("fat", q * _dec("1.1000"), "g")
     tags = F.create_map(*[F.lit(x) for pair in WORD_TAGS.items() for x in pair])

@@ -57,11 +57,17 @@ stg_products AS (
     FROM one_load) WHERE rn = 1
 ),
 stg_product_nutrients AS (
-  SELECT barcode, e.name AS nutrient, e."100g" AS value_per_100,
+  SELECT barcode, e.name AS nutrient, CASE WHEN abs(e."100g") < 1e15 THEN TRY_CAST(e."100g" AS DECIMAL(33,18)) END AS value_per_100,
+    CASE WHEN abs(e."100g") >= 1e15 THEN CAST(e."100g" AS DOUBLE) END AS value_large,
     CASE WHEN lower(e.unit) = 'kj' THEN 'kJ' ELSE e.unit END AS unit
   FROM (SELECT barcode, unnest(nutriments) AS e FROM stg_products)
   WHERE e."100g" IS NOT NULL AND lower(e.unit) IN ('g', 'mg', 'kcal', 'kj')
 ),
+rejected_amounts AS (
+  SELECT barcode, e.name AS nutrient, CAST(NULL AS VARCHAR) AS amount, e.unit AS unit, 'missing' AS reason
+  FROM (SELECT barcode, unnest(nutriments) AS e FROM stg_products)
+  WHERE lower(e.unit) IN ('g', 'mg', 'kcal', 'kj') AND e."100g" IS NULL
+),
 winners AS (
   SELECT s.barcode, list_sort(list({{'p': m.priority, 't': lower(m.off_category_tag), 'l2': m.category_l2}}))[1] AS best
   FROM stg_products s, category_mapping m
@@ -89,15 +95,16 @@ dim_brand AS (
 dim_product AS (
   SELECT barcode AS product_key, product_name, quantity, nutriscore_grade, nutrition_basis, last_modified_at,
     brand_key, category_key, mapping_status
-  FROM keyed
+  FROM keyed WHERE barcode IS NOT NULL
 ),
 fct_nutrition AS (
   SELECT barcode AS product_key, n.nutrient,
     CAST(n.value_per_100 * if(n.nutrient = 'energy' AND lower(n.unit) = 'kcal', 4.184, 1.000) AS DECIMAL(38,21)) AS value_per_100,
+    n.value_large * if(n.nutrient = 'energy' AND lower(n.unit) = 'kcal', 4.184::DOUBLE, 1::DOUBLE) AS value_large,
     r.standard_unit AS unit, nutrition_basis AS basis, category_key, brand_key
   FROM keyed JOIN stg_product_nutrients n USING (barcode)
   JOIN nutrient_reference r ON lower(r.nutrient) = lower(n.nutrient)
-  WHERE n.value_per_100 >= 0
+  WHERE coalesce(n.value_per_100 >= 0, n.value_large >= 0)
 )
 """
 
@@ -131,6 +138,7 @@ class Models:
         return {
             "stg_products": stg,
             "stg_product_nutrients": p.stg_product_nutrients(stg),
+            "rejected_amounts": p.rejected_amounts(stg),
             "int_products_categorised": p.int_products_categorised(stg, seeds),
             "dim_category": p.dim_category(seeds),
             "dim_brand": materialise(p.dim_brand(stg), "dim_brand"),
@@ -146,12 +154,12 @@ _LISTS = ("product_name", "categories_tags", "countries_tags", "brands_tags", "l
           "data_quality_warnings_tags")
 #: Entries with exact amounts, so that both engines write them alike.
 _ENTRIES = """to_json(list_transform(nutriments, lambda e: concat_ws('|', e.name,
-    CAST(CAST(e."100g" AS DECIMAL(24,7)) AS VARCHAR), e.unit))) AS nutriments"""
+    CAST(TRY_CAST(e."100g" AS DECIMAL(24,7)) AS VARCHAR), e.unit))) AS nutriments"""
 
 
 def _entries() -> Column:
     def entry(e: Column) -> Column:
-        return F.concat_ws("|", e["name"], e["100g"].cast("decimal(24,7)").cast("string"), e["unit"])
+        return F.concat_ws("|", e["name"], e["100g"].try_cast("decimal(24,7)").cast("string"), e["unit"])
 
     return F.to_json(F.transform("nutriments", entry))
 
@@ -216,7 +224,7 @@ def stg_products_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_products(p.stg_products(latest_partition(raw_products(spark, sf_dir))))
 
 
-@query(model_sql(f"SELECT barcode, nutrient, {_AMOUNT}, unit FROM stg_product_nutrients"))
+@query(model_sql(f"SELECT barcode, nutrient, {_AMOUNT}, value_large, unit FROM stg_product_nutrients"))
 def stg_product_nutrients(spark: SparkSession, sf_dir: str) -> DataFrame:
     nutrients = p.stg_product_nutrients(Models(spark, sf_dir).stg_products)
     return nutrients.withColumn("value_per_100", as_double("value_per_100"))
@@ -224,14 +232,43 @@ def stg_product_nutrients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     model_sql("""
-SELECT barcode, e.name AS nutrient, e.unit AS unit, if(e."100g" IS NULL, 'missing', 'too large') AS reason
-FROM (SELECT barcode, unnest(nutriments) AS e FROM stg_products)
-WHERE lower(e.unit) IN ('g', 'mg', 'kcal', 'kj') AND (e."100g" IS NULL OR abs(e."100g") >= 1e15)
+SELECT barcode, nutrient, amount, unit, reason FROM rejected_amounts
 """)
 )
 def rejected_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What staging leaves out, with the reason."""
-    return p.rejected_amounts(Models(spark, sf_dir).stg_products).drop("amount")
+    return p.rejected_amounts(Models(spark, sf_dir).stg_products)
+
+
+def _text_amounts(products: DataFrame) -> DataFrame:
+    """The same products with amounts as text, as some sources deliver them; what is missing is ``trace``."""
+    def entry(e: Column) -> Column:
+        text = F.coalesce(e["100g"].cast("string"), F.lit("trace"))
+        return F.struct(e["name"].alias("name"), text.alias("100g"), e["unit"].alias("unit"))
+
+    return products.withColumn("nutriments", F.transform("nutriments", entry))
+
+
+@query(
+    model_sql("""
+SELECT 'kept' AS kind, nutrient, unit, count(*) AS n, count(value_large) AS n_large, max(value_large) AS largest
+FROM stg_product_nutrients GROUP BY ALL
+UNION ALL
+SELECT 'no number', nutrient, unit, count(*), 0, NULL FROM rejected_amounts GROUP BY ALL
+""")
+)
+def amounts_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept and rejected entries of a source whose amounts are text."""
+    products = _text_amounts(Models(spark, sf_dir).stg_products)
+    kept = p.stg_product_nutrients(products).withColumn("kind", F.lit("kept"))
+    rejected = p.rejected_amounts(products).where("amount = 'trace'").select(
+        F.col("reason").alias("kind"), "nutrient", "unit", F.lit(None).cast("double").alias("value_large")
+    )
+    both = kept.select(rejected.columns).unionByName(rejected)
+    large = F.col("value_large")
+    return both.groupBy("kind", "nutrient", "unit").agg(
+        F.count(F.lit(1)).alias("n"), F.count(large).alias("n_large"), F.max(large).alias("largest")
+    )
 
 
 @query(model_sql("SELECT * FROM int_products_categorised"))
@@ -275,7 +312,7 @@ def fct_nutrition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(model_sql("""
-SELECT category_l1, nutrient, unit, basis, count(*) AS n,
+SELECT category_l1, nutrient, unit, basis, count(*) AS n, max(value_large) AS largest,
   CAST(CAST(sum(value_per_100) AS DECIMAL(28,7)) AS DOUBLE) AS total
 FROM fct_nutrition JOIN dim_category USING (category_key) GROUP BY ALL
 """))
@@ -287,7 +324,7 @@ def nutrition_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         fact.join(p.dim_category(models.seeds), "category_key")
         .groupBy("category_l1", "nutrient", "unit", "basis")
-        .agg(F.count(F.lit(1)).alias("n"), total.alias("total"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("value_large").alias("largest"), total.alias("total"))
     )
 
 

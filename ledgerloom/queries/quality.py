@@ -66,6 +66,7 @@ FRESHNESS_LINE = sql.line(
 _FACT, _NUTRIENTS, _CATEGORISED = "fct_nutrition", "stg_product_nutrients", "int_products_categorised"
 _MASS = "nutrient IN (SELECT nutrient FROM nutrient_reference WHERE is_mass)"
 _KCAL = "nutrient = 'energy-kcal'"
+_LARGE = "value_large"
 _MACROS = ("fat", "carbohydrates", "proteins", "fiber", "salt")
 _STATUSES = ("mapped", "unmapped", "no_categories")
 _GROUPS = (
@@ -78,7 +79,10 @@ MODEL_LINES = [
     sql.not_null("staging", "stg_products", "barcode"),
     sql.expression("staging", "stg_products", "barcode_format", _BARCODE_OK, **sql.over(1000)),
     sql.accepted("staging", "stg_products", "nutriscore_grade", "abcde"),
-    *[sql.not_null("staging", _NUTRIENTS, col) for col in ("barcode", "nutrient", "value_per_100")],
+    *[sql.not_null("staging", _NUTRIENTS, col) for col in ("barcode", "nutrient")],
+    sql.not_null("staging", _NUTRIENTS, "value_per_100", _LARGE),
+    sql.expression("staging", _NUTRIENTS, "amount_size", f"{_LARGE} IS NULL", **sql.told()),
+    sql.expression("staging", "rejected_amounts", "number", "reason = 'missing'"),
     sql.unique_combination("staging", _NUTRIENTS, "barcode", "nutrient"),
     sql.unique("intermediate", _CATEGORISED, "barcode"),
     sql.not_null("intermediate", _CATEGORISED, "barcode"),
@@ -95,10 +99,11 @@ MODEL_LINES = [
     sql.relationship("marts", "dim_product", "brand_key", "dim_brand", "brand_key"),
     sql.relationship("marts", "dim_product", "category_key", "dim_category", "category_key"),
     sql.accepted("marts", "dim_product", "mapping_status", _STATUSES),
-    *[sql.not_null("marts", _FACT, col) for col in ("product_key", "nutrient", "value_per_100")],
+    *[sql.not_null("marts", _FACT, col) for col in ("product_key", "nutrient")],
+    sql.not_null("marts", _FACT, "value_per_100", _LARGE),
     sql.relationship("marts", _FACT, "product_key", "dim_product", "product_key"),
-    sql.between(f"value_between_{_FACT}_mass", "marts", _FACT, _MASS, "value_per_100", 0, 100, **sql.over(800)),
-    sql.between(f"value_between_{_FACT}_kcal", "marts", _FACT, _KCAL, "value_per_100", 0, 900, **sql.over(200)),
+    sql.between(f"value_between_{_FACT}_mass", "marts", _FACT, _MASS, "value_per_100", 0, 100, _LARGE, **sql.over(800)),
+    sql.between(f"value_between_{_FACT}_kcal", "marts", _FACT, _KCAL, "value_per_100", 0, 900, _LARGE, **sql.over(200)),
     sql.accepted("marts", _FACT, "unit", ("g", "kcal", "kJ")),
     sql.relationship("marts", _FACT, "category_key", "dim_category", "category_key"),
     sql.relationship("marts", _FACT, "brand_key", "dim_brand", "brand_key"),
@@ -119,16 +124,16 @@ MODEL_LINES = [
 _FACT_COLUMNS = ("product_key", "nutrient", "value_per_100", "unit", "basis", "category_key", "brand_key")
 CONTRACT_LINES = [
     *[
-        sql.not_null("contract", _FACT, col).replace("'not_null_", "'contract_not_null_", 1)
+        sql.not_null("contract", _FACT, col, _LARGE if col == "value_per_100" else "NULL").replace("'not_null_", "'contract_not_null_", 1)
         for col in _FACT_COLUMNS
     ],
-    sql.expression("contract", _FACT, "", "value_per_100 >= 0", f"contract_expression_{_FACT}_not_negative"),
+    sql.expression("contract", _FACT, "", "coalesce(value_per_100 >= 0, value_large >= 0)", f"contract_expression_{_FACT}_not_negative"),
     sql.unique_combination("contract", _FACT, "product_key", "nutrient",
                         name=f"contract_unique_{_FACT}_product_key_nutrient"),
     sql.between(f"contract_value_between_{_FACT}_mass", "contract", _FACT, _MASS, "value_per_100", 0, 100,
-             **sql.over(800)),
+             _LARGE, **sql.over(800)),
     sql.between(f"contract_value_between_{_FACT}_kcal", "contract", _FACT, _KCAL, "value_per_100", 0, 900,
-             **sql.over(200)),
+             _LARGE, **sql.over(200)),
     sql.expression("contract", _FACT, "", "unit IN ('g', 'kcal', 'kJ')", f"contract_expression_{_FACT}_unit"),
     sql.relationship("contract", _FACT, "category_key", "dim_category", "category_key", True,
                   f"contract_relationship_{_FACT}_category_key"),
@@ -165,7 +170,7 @@ def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(model_sql(sql.union_all(MODEL_LINES)))
 def model_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 43 checks on seeds, staging, intermediate and marts, in one query."""
+    """The 45 checks on seeds, staging, intermediate and marts, in one query."""
     return c.evaluate(suites.model_checks(), _model_tables(spark, sf_dir))
 
 
@@ -253,6 +258,7 @@ def _failing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables = {
         "stg_products": models.stg_products,
         "stg_product_nutrients": p.stg_product_nutrients(models.stg_products),
+        "rejected_amounts": p.rejected_amounts(models.stg_products),
         _FACT: suites.with_mass_flag(fact, models.seeds),
     }
     (check,) = [check for check in suites.model_checks() if check.name == name]
@@ -268,11 +274,12 @@ def failing_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(model_sql(f"""
-SELECT product_key, nutrient, {_AMOUNT}, unit FROM {_FACT} WHERE {_MASS} AND value_per_100 NOT BETWEEN 0 AND 100
+SELECT product_key, nutrient, {_AMOUNT}, value_large, unit FROM {_FACT}
+WHERE {_MASS} AND coalesce(value_per_100, value_large) NOT BETWEEN 0 AND 100
 """))
 def failing_mass_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _failing(spark, sf_dir, f"value_between_{_FACT}_mass")
-    return rows.select("product_key", "nutrient", as_double("value_per_100"), "unit")
+    return rows.select("product_key", "nutrient", as_double("value_per_100"), "value_large", "unit")
 
 
 @query(model_sql(f"""

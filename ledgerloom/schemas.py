@@ -84,6 +84,7 @@ FACT = T.StructType(
         T.StructField("product_key", T.StringType()),
         T.StructField("nutrient", T.StringType()),
         T.StructField("value_per_100", CONVERTED),
+        T.StructField("value_large", T.DoubleType()),
         T.StructField("unit", T.StringType()),
         T.StructField("basis", T.StringType()),
         T.StructField("category_key", T.StringType()),
@@ -104,7 +105,8 @@ DESCRIPTIONS = {
     },
     "stg_product_nutrients": {
         "": "One row per barcode and nutrient entry with a mass or energy unit.",
-        "value_per_100": "Amount per 100 g or ml, as reported.",
+        "value_per_100": "Amount per 100 g or ml, as reported; NULL if it has over 15 whole digits.",
+        "value_large": "That amount as a double if it has over 15 whole digits.",
         "unit": "Unit as reported, kJ spelled uniformly.",
     },
     "int_products_categorised": {
@@ -134,7 +136,8 @@ DESCRIPTIONS = {
         "": "One row per product and nutrient, in the nutrient's standard unit.",
         "product_key": "Key into dim_product.",
         "nutrient": "Nutrient name as reported.",
-        "value_per_100": "Amount per 100 g or ml in the standard unit, never negative.",
+        "value_per_100": "Amount per 100 g or ml in the standard unit, never negative; NULL if too large.",
+        "value_large": "The amount as a double if it has over 15 whole digits.",
         "unit": "g, kcal or kJ.",
         "basis": "100g or 100ml.",
         "category_key": "Key into dim_category.",

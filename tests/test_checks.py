@@ -141,6 +141,7 @@ def tables(spark, seeds):
         "raw": load,
         "stg_products": stg,
         "stg_product_nutrients": p.stg_product_nutrients(stg),
+        "rejected_amounts": p.rejected_amounts(stg),
         "int_products_categorised": p.int_products_categorised(stg, seeds),
         "dim_category": p.dim_category(seeds),
         "dim_brand": p.dim_brand(stg),
@@ -155,15 +156,15 @@ def tables(spark, seeds):
 def test_suite_sizes(spark, tables):
     models = suites.model_checks()
     gate = suites.raw_checks(tables["raw"], LOAD_DATE, AS_OF)
-    assert (len(models), len(gate)) == (43, 12)
+    assert (len(models), len(gate)) == (45, 12)
     names = [check.name for check in [*models, *gate, suites.source_freshness(AS_OF)]]
-    assert len(set(names)) == 56
+    assert len(set(names)) == 58
     kinds = {}
     for check in models:
         kinds[check.kind] = kinds.get(check.kind, 0) + 1
     assert kinds == {
         "unique": 8, "not_null": 15, "accepted_values": 7, "relationship": 6, "unique_combination": 2,
-        "value_between": 2, "expression_is_true": 1, "component_sum": 1, "ratio": 1,
+        "value_between": 2, "expression_is_true": 3, "component_sum": 1, "ratio": 1,
     }
 
 

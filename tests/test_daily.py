@@ -27,7 +27,7 @@ def test_build_publishes_and_can_be_run_again(spark, root):
     daily.load(spark, source(spark, SHELF), LOAD_DATE, LOADED_AT)
     first = daily.build(spark, root, AS_OF)
     assert sizes(spark) == MARTS
-    assert len(first.results) == 1 + 1 + 43 + 14
+    assert len(first.results) == 1 + 1 + 45 + 14
     assert len(first.audit) == 5
     assert spark.table("audit.ratio_fct_nutrition_salt_sodium").count() == 1
     assert spark.table("marts.fct_nutrition").schema.names == FACT.names

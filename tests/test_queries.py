@@ -1,4 +1,4 @@
-"""Every registered query against its SQL in another engine, on the smallest given tables."""
+"""Every registered query against its SQL in another engine, on the given tables that hold products without a barcode."""
 
 from __future__ import annotations
 
@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).parent.parent))
 import __spark_entry__ as entry  # noqa: E402
 from ledgerloom.queries.registry import QUERIES  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR = "/root/testdata/sf0.01"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
