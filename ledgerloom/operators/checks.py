@@ -37,6 +37,9 @@ RESULT_COLUMNS = (
     "check", "layer", "kind", "dimension", "severity", "n_total", "n_failed", "pct_failed", "verdict",
 )
 
+#: Names the folders of failing rows that were written together.
+FAILED_CHECK = "failed_check"
+
 _LABELS = T.StructType(
     [
         T.StructField("check", T.StringType()),
@@ -89,6 +92,15 @@ class Check:
         """The rows to keep for inspection."""
         raise NotImplementedError
 
+    @property
+    def failing_shares(self) -> tuple:
+        """Checks with the same value have their failing rows written in one pass."""
+        return ("alone", self.name)
+
+    def failing_of(self, group: Sequence, tables: Tables) -> DataFrame:
+        """The rows to look for failures of a group in, in which every check's ``bad`` can be asked."""
+        raise NotImplementedError
+
 
 @dataclass(frozen=True, kw_only=True)
 class RowCheck(Check):
@@ -110,6 +122,14 @@ class RowCheck(Check):
     def aggregates(self, table: DataFrame) -> tuple[Column, Column]:
         return self.total, self.failed if self.failed is not None else F.count_if(self.bad)
 
+    @property
+    def failing_shares(self) -> tuple:
+        alone = self.bad is None or self.bad_values_of is not None
+        return ("alone", self.name) if alone else ("rows", self.table)
+
+    def failing_of(self, group: Sequence[RowCheck], tables: Tables) -> DataFrame:
+        return tables[self.table]
+
     def failing(self, tables: Tables) -> DataFrame:
         table = tables[self.table]
         if self.bad is None:
@@ -192,6 +212,13 @@ class KeyCheck(Check):
         merged = {alias: agg for check in group for alias, agg in check.per_key.items()}
         return _per_key(table, self.keys, merged), [check.aggregates() for check in group]
 
+    @property
+    def failing_shares(self) -> tuple:
+        return self.shares
+
+    def failing_of(self, group: Sequence[KeyCheck], tables: Tables) -> DataFrame:
+        return self.counted_with(group, tables)[0]
+
     def aggregates(self) -> tuple[Column, Column]:
         return self.total, self.failed if self.failed is not None else F.count_if(self.bad)
 
@@ -546,17 +573,33 @@ def write_audit(
 ) -> dict[str, str]:
     """Keep the failing rows of every check that has any, whatever its severity; path by check.
 
-    Checks without failures are in the results already and cost no job here.
+    Checks that are counted in one pass are written in one, a folder for each: a row or key
+    goes to the folder of every check it fails. Checks without failures cost no job.
     """
     failed = {r.check for r in results if r.n_failed > 0}
-    paths = {}
+    groups: dict[tuple, list[Check]] = {}
     for check in checks:
         if check.name in failed:
+            groups.setdefault(check.failing_shares, []).append(check)
+    paths = {}
+    for group in groups.values():
+        if len(group) == 1:
+            (check,) = group
             paths[check.name] = path_of(check.name)
             check.failing(tables).write.parquet(paths[check.name])
+            continue
+        path = path_of(f"{group[0].table}_{'_'.join(str(x) for x in _flat(group[0].failing_shares))}"[:120])
+        rows = group[0].failing_of(group, tables)
+        names = F.array_compact(F.array(*[F.when(k.bad, F.lit(k.name)) for k in group]))
+        rows.withColumn(FAILED_CHECK, F.explode(names)).write.partitionBy(FAILED_CHECK).parquet(path)
+        paths |= {k.name: f"{path}/{FAILED_CHECK}={k.name}" for k in group}
     return paths
 
 
+def _flat(shares: tuple) -> list:
+    return [x for part in shares for x in (part if isinstance(part, tuple) else (part,))]
+
+
 def sample_failures(check: Check, tables: Tables, n: int = 10) -> DataFrame:
     """A few failing rows to look at."""
     return check.failing(tables).limit(n)

@@ -11,7 +11,7 @@ from ledgerloom.operators import checks as c
 from ledgerloom.plans import products as p
 from ledgerloom.plans import suites
 from ledgerloom.plans.contracts import fact_contract
-from ledgerloom.sources import layers
+from ledgerloom.sources import layers, releases
 from ledgerloom.sources.seeds import Seeds, built_in_seeds
 from ledgerloom.sources.snapshots import (
     chosen_partition,
@@ -74,8 +74,8 @@ def build(
 
     Staged products and the marts are written once and read from there. The keys
     are computed anew for each mart: that costs less than writing the nested
-    measures a second time. New versions are published only after every check
-    ran and none ended in an error; failing rows are kept in either case.
+    measures a second time. All marts and the audit are one release, which readers see by one
+    write, after every check ran; if one ended in an error, the audit alone is released.
     """
     layers.create_layers(spark)
     seeds = seeds or built_in_seeds(spark)
@@ -117,10 +117,14 @@ def build(
     audit = c.write_audit(
         model_checks, flagged, results, lambda name: layers.new_version(root, "audit", name)
     )
-    layers.replace_audit(spark, [check.name for check in model_checks], audit)
-    c.gate(results)
-    for name, (_, path) in versions.items():
-        layers.publish(spark, "marts", name, path)
+    failing = {("audit", name): path for name, path in audit.items()}
+    try:
+        c.gate(results)
+    except c.GateFailed:
+        releases.release(spark, root, failing, whole_layers=("audit",))
+        raise
+    published = {("marts", name): path for name, (_, path) in versions.items()}
+    releases.release(spark, root, {**failing, **published}, whole_layers=("audit",))
     for name in ("stg_products", "stg_product_nutrients", "rejected_amounts", "int_products_categorised"):
         layers.save_view(tables[name], name)
     return Build(results, audit, tables)

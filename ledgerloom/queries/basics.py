@@ -18,12 +18,17 @@ from ledgerloom.sources import files
 from ledgerloom.sources.seeds import in_plan_table, values
 from ledgerloom.sources.snapshots import (
     chosen_partition,
+    expire_partition_versions,
     latest_partition,
     newest,
     newest_load_date,
     replace_partition,
+    switch_partition,
+    write_partition,
 )
 
+LONG_AGO = dt.datetime(1970, 1, 1)
+
 # --- sources and partitions --------------------------------------------------
 
 
@@ -98,11 +103,16 @@ WITH days AS ({_EVENT_DAYS}),
 ends AS (SELECT max(load_date) AS emptied,
     max(load_date) FILTER (WHERE load_date < (SELECT max(load_date) FROM days)) AS replaced FROM days)
 SELECT CAST(load_date AS VARCHAR) AS load_date, count(*) AS n_events,
-  CAST(sum(CAST(value AS DECIMAL(18,2)) * if(load_date = replaced, 2, 1)) AS DOUBLE) AS total
+  CAST(sum(CAST(value AS DECIMAL(18,2)) * if(load_date = replaced, 2, 1)) AS DOUBLE) AS total,
+  CAST(sum(CAST(value AS DECIMAL(18,2))) FILTER (load_date = replaced) AS DOUBLE) AS total_between,
+  any_value(3) FILTER (load_date = replaced) AS n_versions
 FROM days, ends WHERE load_date < emptied GROUP BY 1
 """)
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days stored; the last one replaced by nothing, the one before by other rows, twice."""
+    """All days stored; the last one replaced by nothing, the one before by other rows, twice.
+
+    Between writing and switching, a reader still finds the load before (``total_between``).
+    """
     days = _events_by_day(spark, sf_dir)
     path = scratch_path(spark, "events-by-day")
     name = "events_" + path.rsplit("-", 1)[1]
@@ -110,13 +120,21 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     replace_partition(days.limit(0), name, newest_load_date(spark, name))
     last = newest_load_date(spark, name)
     doubled = days.where(F.col("load_date") == F.lit(last)).withColumn("value", F.col("value") * 2)
-    for _ in range(2):
-        replace_partition(doubled, name, last)
-    stored = spark.read.schema(days.schema).parquet(path)
-    spark.sql(f"DROP TABLE {name}")  # the files stay
     total = F.sum(F.col("value").cast("decimal(18,2)")).cast("double")
-    return stored.groupBy(F.col("load_date").cast("string").alias("load_date")).agg(
-        F.count(F.lit(1)).alias("n_events"), total.alias("total")
+    written = write_partition(doubled, name, last)
+    between = spark.table(name).where(F.col("load_date") == F.lit(last)).agg(total).first()[0]
+    switch_partition(spark, name, last, written)
+    replace_partition(doubled, name, last)
+    # One version for each of the three replacements; the first files of a day are in its own folder.
+    versions = expire_partition_versions(spark, name, LONG_AGO)
+    replaced = F.col("load_date") == F.lit(last)
+    stored = spark.table(name).groupBy("load_date").agg(F.count(F.lit(1)).alias("n_events"), total.alias("total"))
+    return stored.withColumns(
+        {
+            "total_between": F.when(replaced, F.lit(between)),
+            "n_versions": F.when(replaced, F.lit(len(versions))),
+            "load_date": F.col("load_date").cast("string"),
+        }
     )
 
 

@@ -57,10 +57,10 @@ def publish(spark: SparkSession, layer: str, name: str, path: str) -> DataFrame:
     comments = DESCRIPTIONS.get(name, {})
     version = with_comments(spark.read.parquet(path), comments)
     columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" + _comment(f.metadata.get("comment"))
+        f"`{f.name}` {f.dataType.simpleString()}" + quoted(f.metadata.get("comment"))
         for f in version.schema
     )
-    _point(spark, f"{layer}.{name}", version, path, f" ({columns})", _comment(comments.get("")))
+    _point(spark, f"{layer}.{name}", version, path, f" ({columns})", quoted(comments.get("")))
     return spark.table(f"{layer}.{name}")
 
 
@@ -73,21 +73,15 @@ def _point(
         return [(f.name, f.dataType, f.metadata) for f in df.schema]
 
     if spark.catalog.tableExists(table):
-        if layout(spark.table(table)) == layout(version):
+        if spark.catalog.getTable(table).tableType == "VIEW":  # of a release
+            spark.sql(f"DROP VIEW {table}")
+        elif layout(spark.table(table)) == layout(version):
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             return
-        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table}{columns} USING parquet LOCATION '{path}'{comment}")
 
 
-def replace_audit(spark: SparkSession, checks: list[str], paths: dict[str, str]) -> None:
-    """One audit table per check that has failing rows; tables of an earlier run go away."""
-    for name in checks:
-        if name in paths:
-            _point(spark, f"audit.{name}", spark.read.parquet(paths[name]), paths[name])
-        else:
-            spark.sql(f"DROP TABLE IF EXISTS audit.{name}")
-
-
-def _comment(text: str | None) -> str:
+def quoted(text: str | None) -> str:
+    """A comment clause, or nothing."""
     return " COMMENT '" + text.replace("'", "\\'") + "'" if text else ""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,10 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.nested import has_member
 from ledgerloom.schemas import RAW, SNAPSHOT
+from ledgerloom.sources import releases
+
+#: Folder in a table's own where the versions of its partitions are.
+VERSIONS = "_versions"
 
 
 class EmptyPartition(ValueError):
@@ -61,9 +66,18 @@ def replace_partition(
 ) -> None:
     """Make ``df`` the whole content of one partition; a second run changes nothing.
 
-    The partition is named in the statement: that clears it even when ``df`` is
-    empty, where a dynamic overwrite would leave the old rows. Rows are evened
-    out first, since a selective extract leaves a sliver in each of its tasks
+    The rows are written beside the partition, which then gets another location: readers see the
+    load before until that one write, and after it the new one, also when that is empty.
+    """
+    switch_partition(df.sparkSession, table, load_date, write_partition(df, table, load_date, column), column)
+
+
+def write_partition(
+    df: DataFrame, table: str, load_date: dt.date, column: str = "load_date"
+) -> str:
+    """Write a version of one partition where no reader looks, and return its folder.
+
+    Rows are evened out first, since a selective extract leaves a sliver in each of its tasks
     and would store one tiny file per task.
     """
     spark = df.sparkSession
@@ -80,11 +94,47 @@ def replace_partition(
         for f in spark.table(table).schema
         if f.name != column
     ]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({column} = DATE'{load_date.isoformat()}') "
-        "SELECT * FROM {load}",
-        load=df.select(*columns).hint("rebalance"),
-    )
+    # Names that begin with an underscore are hidden from listings of the table's folder.
+    path = f"{_location(spark, table)}/{VERSIONS}/{column}={load_date.isoformat()}/version={uuid.uuid4().hex}"
+    df.select(*columns).hint("rebalance").write.parquet(path)
+    return path
+
+
+def switch_partition(
+    spark: SparkSession, table: str, load_date: dt.date, path: str, column: str = "load_date"
+) -> None:
+    """Point one partition at a finished version; the version before stays for readers that have it open."""
+    named = f"PARTITION ({column} = DATE'{load_date.isoformat()}')"
+    if spark.sql(f"SHOW PARTITIONS {table} {named}").isEmpty():
+        spark.sql(f"ALTER TABLE {table} ADD {named} LOCATION '{path}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} {named} SET LOCATION '{path}'")
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[-1].data_type.rstrip("/")
+
+
+def expire_partition_versions(
+    spark: SparkSession, table: str, keep_since: dt.datetime, column: str = "load_date"
+) -> list[tuple[str, bool]]:
+    """Remove the versions of partitions that are not in force and older than ``keep_since``.
+
+    Returns every version's folder and whether it was kept. ``keep_since`` is in UTC.
+    """
+    out = []
+    for partition, _ in releases.folders(spark, f"{_location(spark, table)}/{VERSIONS}"):
+        date = partition.rstrip("/").rsplit("=", 1)[-1]
+        named = f"PARTITION ({column} = DATE'{date}')"
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {named}").where("col_name = 'Location'")
+        in_force = {r.data_type.rsplit("=", 1)[-1] for r in described.collect()}
+        for path, old in releases.folders(spark, partition, keep_since):
+            kept = not old or path.rsplit("=", 1)[-1] in in_force
+            if not kept:
+                releases.remove_folder(spark, path)
+            out.append((path, kept))
+    return out
 
 
 def latest_partition(df: DataFrame, column: str = "load_date") -> DataFrame:
