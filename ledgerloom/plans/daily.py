@@ -23,6 +23,8 @@ from ledgerloom.sources.snapshots import (
 )
 
 RAW_TABLE = "raw.products"
+#: What is checked by product, and the column that holds its key.
+BUCKET_KEYS = {"stg_products": "barcode", "dim_product": "product_key", "fct_nutrition": "product_key"}
 
 
 @dataclass(frozen=True)
@@ -74,8 +76,10 @@ def build(
 
     Staged products and the marts are written once and read from there. The keys
     are computed anew for each mart: that costs less than writing the nested
-    measures a second time. All marts and the audit are one release, which readers see by one
-    write, after every check ran; if one ended in an error, the audit alone is released.
+    measures a second time. What is checked by product is written in buckets of the product's
+    key, so that those checks shuffle nothing. All marts and the audit are one release, which
+    readers see by one write, after every check ran; if one ended in an error, the audit alone is
+    released.
     """
     layers.create_layers(spark)
     seeds = seeds or built_in_seeds(spark)
@@ -84,7 +88,30 @@ def build(
     # The partition column is a literal here, so only this load is scanned.
     one_load = chosen_partition(raw, load_date)
 
-    staged, _ = layers.write_version(p.stg_products(one_load), root, "staging", "stg_products")
+    written: dict[str, str] = {}
+    try:
+        return _build(spark, root, as_of, one_load, raw, seeds, written)
+    finally:
+        for name, path in written.items():
+            layers.end_work(spark, name, path)
+
+
+def _build(
+    spark: SparkSession, root: str, as_of: dt.datetime, one_load: DataFrame, raw: DataFrame, seeds: Seeds,
+    written: dict[str, str],
+) -> Build:
+    """Build, check and release; paths of keyed versions go to ``written``."""
+
+    def write(df: DataFrame, layer: str, name: str) -> DataFrame:
+        if name not in BUCKET_KEYS:
+            table, paths[name] = layers.write_version(df, root, layer, name)
+        else:
+            table, paths[name] = layers.write_keyed_version(df, root, layer, name, BUCKET_KEYS[name])
+            written[name] = paths[name]
+        return table
+
+    paths: dict[str, str] = {}
+    staged = write(p.stg_products(one_load), "staging", "stg_products")
     keyed = p.products_with_keys(staged, seeds)
     marts = {
         "dim_category": p.dim_category(seeds),
@@ -94,7 +121,7 @@ def build(
     }
     contract = fact_contract()
     contract.require_layout(marts["fct_nutrition"])
-    versions = {n: layers.write_version(df, root, "marts", n) for n, df in marts.items()}
+    versions = {name: write(df, "marts", name) for name, df in marts.items()}
 
     tables = {
         # Freshness is that of the whole source, so an older load can be built again.
@@ -106,7 +133,7 @@ def build(
         "category_taxonomy": seeds.category_taxonomy,
         "category_mapping": seeds.category_mapping,
         "nutrient_reference": seeds.nutrient_reference,
-        **{name: df for name, (df, _) in versions.items()},
+        **versions,
     }
     flagged = {**tables, "fct_nutrition": suites.with_mass_flag(tables["fct_nutrition"], seeds)}
     model_checks = suites.model_checks()
@@ -123,7 +150,7 @@ def build(
     except c.GateFailed:
         releases.release(spark, root, failing, whole_layers=("audit",))
         raise
-    published = {("marts", name): path for name, (_, path) in versions.items()}
+    published = {("marts", name): paths[name] for name in versions}
     releases.release(spark, root, {**failing, **published}, whole_layers=("audit",))
     for name in ("stg_products", "stg_product_nutrients", "rejected_amounts", "int_products_categorised"):
         layers.save_view(tables[name], name)

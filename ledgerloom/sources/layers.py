@@ -12,6 +12,8 @@ from ledgerloom.sources.files import write_complete
 
 # Fixed values.
 LAYERS = ("raw", "staging", "intermediate", "marts", "audit")
+#: Catalogue entries of keyed versions that a run works on.
+WORK = "work"
 
 
 def create_layers(spark: SparkSession) -> None:
@@ -43,6 +45,32 @@ def write_version(df: DataFrame, root: str, layer: str, name: str) -> tuple[Data
     return write_complete(df, path), path
 
 
+def write_keyed_version(
+    df: DataFrame, root: str, layer: str, name: str, key: str
+) -> tuple[DataFrame, str]:
+    """As ``write_version``, with all rows of a key in one of as many buckets as a shuffle has partitions.
+
+    Grouping the returned table by the key, alone or with more columns, or joining it on the key
+    needs no shuffle. Rows that a shuffle by the key has dealt come as one file per bucket. Only
+    the catalogue can tell Spark of buckets, so the version has an entry there until ``end_work``.
+    """
+    spark, path = df.sparkSession, new_version(root, layer, name)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {WORK}")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = _work_entry(name, path)
+    df.write.bucketBy(buckets, key).format("parquet").option("path", path).saveAsTable(table)
+    return spark.table(table), path
+
+
+def end_work(spark: SparkSession, name: str, path: str) -> None:
+    """Take a keyed version's entry out of the catalogue. Its files stay, and so do tables read from it."""
+    spark.sql(f"DROP TABLE IF EXISTS {_work_entry(name, path)}")
+
+
+def _work_entry(name: str, path: str) -> str:
+    return f"{WORK}.{name}_{path.rsplit('=', 1)[-1]}"
+
+
 def new_version(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}/version={uuid.uuid4().hex}"
 

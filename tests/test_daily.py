@@ -5,10 +5,12 @@ import datetime as dt
 import pytest
 from fixture_rows import AS_OF, LOAD_DATE, LOADED_AT, SHELF, Product, source
 
+from ledgerloom.operators import checks as c
 from ledgerloom.operators.checks import GateFailed
-from ledgerloom.plans import daily
+from ledgerloom.plans import daily, suites
 from ledgerloom.schemas import FACT
 from ledgerloom.session import scratch_path
+from ledgerloom.sources import layers
 
 MARTS = {"dim_product": 16, "dim_brand": 3, "dim_category": 48, "fct_nutrition": 69}
 
@@ -83,3 +85,45 @@ def test_a_stored_table_without_a_column_stops_the_gate(spark, root):
     stored.write.partitionBy("load_date").saveAsTable("raw.products")
     with pytest.raises(GateFailed, match="required_columns_raw"):
         daily.check_load(spark, LOAD_DATE, AS_OF)
+
+
+def hash_exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_checks_by_product_shuffle_neither_staging_nor_the_fact(spark, root, seeds):
+    daily.load(spark, source(spark, SHELF), LOAD_DATE, LOADED_AT)
+    built = daily.build(spark, root, AS_OF)
+    tables = dict(built.tables)  # can still be read, though their entries are gone
+    assert not [t for t in spark.catalog.listTables(layers.WORK) if not t.isTemporary]
+    tables["fct_nutrition"] = suites.with_mass_flag(tables["fct_nutrition"], seeds)
+    by_product = ("barcode", "product_key")
+    checks = [
+        k for k in suites.model_checks()
+        if isinstance(k, c.KeyCheck) and k.keys[0] in by_product
+        or isinstance(k, c.ParentCheck) and k.key in by_product
+    ]
+    assert len(checks) == 8
+    found = c.evaluate(checks, tables)
+    keys = [line.split("hashpartitioning(")[1].split("#")[0] for line in hash_exchanges(found)]
+    assert not {"barcode", "product_key"} & set(keys), keys
+    before = {r.check: r.n_failed for r in built.results}
+    assert {r.check: r.n_failed for r in found.collect()} == {k.name: before[k.name] for k in checks}
+    # The foreign keys that aren't the product's are counted per task before anything is shuffled.
+    others = [k for k in suites.model_checks() if isinstance(k, c.ParentCheck) and k.table == "fct_nutrition"]
+    shuffled = [line for line in hash_exchanges(c.evaluate(others, tables)) if "product_key" in line]
+    assert shuffled == []
+
+
+def test_a_keyed_version_is_plain_files_beside_the_others(spark, root):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS v").union(spark.sql("SELECT NULL, -1L"))
+    table, path = layers.write_keyed_version(df, root, "marts", "numbers", "k")
+    grouped = table.groupBy("k", "v").count()
+    assert hash_exchanges(grouped) == [] and grouped.count() == 101
+    layers.end_work(spark, "numbers", path)
+    assert sorted(spark.read.parquet(path).collect(), key=str) == sorted(df.collect(), key=str)
+    assert table.where("k IS NULL").first().v == -1
+    empty, path = layers.write_keyed_version(df.limit(0), root, "marts", "numbers", "k")
+    assert empty.count() == 0 and empty.columns == ["k", "v"]
+    layers.end_work(spark, "numbers", path)
