@@ -14,19 +14,24 @@ are alike (1), one such and another are not (0). Repeated rows are documents of
 from __future__ import annotations
 
 import hashlib
+import json
+import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLES = 64
 #: (term, count) pairs whose ranks are kept at once and worked on at once, and characters of text.
 PAIRS, BLOCK, BYTES = 1 << 18, 1 << 12, 4 << 20
-#: Ranges of ids that documents are dealt into to find each one's next.
-RANGES = 256
+#: Ranges of ids that documents are dealt into to find each one's next: at least so many, and more
+#: where a range would hold more rows than this.
+RANGES, RANGE_ROWS = 256, 250_000
+_SMALLEST = -(2**63)
 _U = np.uint64
 
 
@@ -149,34 +154,60 @@ def _pairs(samples: int):
     return run
 
 
-def against_next(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
+def _range_of(cuts: list[int]) -> Column:
+    """The range of a row with the order's columns ``k`` and ``h``; it grows with (k, h).
+
+    A cut that comes ``n`` times is an id that fills whole ranges by itself. Its rows are spread over
+    ``n`` ranges by the hash of their text. Entries are looked up in blocks, by some square root of
+    their number of comparisons.
+    """
+    if not cuts:
+        return F.lit(0)
+    entries, start = [], 1
+    for cut, n in sorted(Counter(cuts).items()):
+        slices = n if n > 1 else 0
+        entries.append({"cut": cut, "start": start, "slices": slices})
+        start += slices + 1
+    step = math.isqrt(len(entries) - 1) + 1
+    blocks = [entries[i : i + step] for i in range(0, len(entries), step)]
+    k, h = F.col("k"), F.col("h")
+    firsts = F.from_json(F.lit(json.dumps([b[0]["cut"] for b in blocks])), "array<bigint>")
+    table = F.from_json(
+        F.lit(json.dumps(blocks)), "array<array<struct<cut: bigint, start: int, slices: int>>>"
+    )
+    block = F.get(table, F.array_size(F.filter(firsts, lambda c: c <= k)) - 1)
+    entry = F.element_at(F.filter(block, lambda e: e["cut"] <= k), -1)
+    share = F.floor((h / F.lit(2.0**64) + 0.5) * entry["slices"]).cast("int")
+    within = F.when(entry["cut"] < k, entry["slices"]).when(
+        entry["slices"] > 0, F.greatest(F.lit(0), F.least(share, entry["slices"] - 1))
+    )
+    return F.coalesce(entry["start"] + F.coalesce(within, F.lit(0)), F.lit(0))
+
+
+def against_next(docs: DataFrame, samples: int = SAMPLES, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how alike they and the next one's are.
 
     The next document has the next smaller doc_id; after the last comes the first. A null id is the
-    smallest; rows of one id stand in the order of their text. Ids are dealt into ranges, each
-    sorted by one task; the first row of a range is also sent, as a guest, to the one before.
+    smallest; rows of one id stand in the order of their text's hash. Ids are dealt into ranges of
+    some ``range_rows`` rows at most, each sorted by one task; the first row of a range is also sent,
+    as a guest, to the one before. A missing or repeated id with more rows is split by the hash, so only
+    copies of one text under one id must stay together. An empty table gives no rows; other columns
+    of ``docs`` are not looked at, whatever their names.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    cuts = rows.where("doc_id IS NOT NULL").approxQuantile(
-        "doc_id", [i / RANGES for i in range(1, RANGES)], 1 / (8 * RANGES)
+    rows = rows.withColumns(
+        {"k": F.coalesce("doc_id", F.lit(_SMALLEST)), "h": F.xxhash64("text")}
     )
-    cuts = sorted({int(c) for c in cuts})
-    at = F.lit(0)
-    if cuts:
-        bounds = F.array(*[F.lit(c).cast("long") for c in cuts])
-        at = F.when(F.col("doc_id").isNull(), 0).otherwise(
-            F.array_size(F.filter(bounds, lambda c: c <= F.col("doc_id")))
-        )
-    rows = rows.withColumn("range", at)
-    # The largest row of each range: at most RANGES ids, so the semi-join's right side is small.
-    order = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("k"), F.xxhash64("text").alias("h"))
-    heads = rows.groupBy("range").agg(F.max(order).alias("o")).collect()
+    n = max(RANGES, math.ceil(rows.count() / range_rows))
+    cuts = rows.approxQuantile("k", [i / n for i in range(1, n)], 1 / (8 * n))
+    keyed = rows.withColumn("range", _range_of([int(c) for c in cuts]))
+    # The largest row of each range, so a row per range reaches the driver.
+    heads = keyed.groupBy("range").agg(F.max(F.struct("k", "h")).alias("o")).collect()
     heads = sorted(((r["range"], r.o.k, r.o.h) for r in heads), reverse=True)
     guests = [(heads[i - 1][0], *heads[i]) for i in range(1, len(heads))]
     guests += [(heads[-1][0], *heads[0])] if heads else []
     asked = docs.sparkSession.createDataFrame(guests, "host int, range int, k long, h long")
-    keyed = rows.withColumns({"k": order["k"], "h": order["h"]})
-    guest = keyed.join(F.broadcast(asked), ["range", "k", "h"]).dropDuplicates(["host"])
+    guest = keyed.join(asked, ["range", "k", "h"]).dropDuplicates(["host"])
     both = keyed.withColumn("guest", F.lit(False)).unionByName(
         guest.drop("range").withColumnRenamed("host", "range").withColumn("guest", F.lit(True))
     )

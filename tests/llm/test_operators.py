@@ -160,6 +160,45 @@ def test_fingerprints(spark, docs, rows):
     assert all(len(v) == 1 for k, v in by_text.items() if k is not None)
 
 
+@pytest.mark.parametrize("range_rows", [1, 250_000])
+def test_fingerprints_with_hot_ids(spark, range_rows):
+    """Every column against a plain version: a third without an id, a third under one id, wrap-around."""
+    rng = random.Random(9)
+    ids = [*rng.sample(range(-(10**6), 10**6), 100), *[None] * 100, *[7] * 90, *[2**60 + 5] * 10]
+    hot = [(i, prose(rng, rng.randint(0, 12))) for i in ids] + [(7, "same text")] * 20 + [(None, None), (8, None)]
+
+    def place(row):
+        doc_id, text = row
+        h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+        return -(2**63) if doc_id is None else doc_id, h - 2**64 if h >= 2**63 else h
+
+    order = sorted(hot, key=place, reverse=True)
+    expected = []
+    for (doc_id, text), (_, after) in zip(order, [*order[1:], order[0]], strict=True):
+        text, after = text or "", after or ""
+        changed = text[: len(text) - len(text) // 2] + after[: len(text) // 2]
+        own, new, following = fingerprints.signatures([text, changed, after])
+        expected.append((
+            doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), fingerprints.as_text(own),
+            fingerprints.as_text(new), float((own == new).mean()), float((own == following).mean()),
+        ))
+    df = spark.createDataFrame(hot, "doc_id long, text string").repartition(3)
+    # Names that the operator uses itself belong to other columns here.
+    df = df.selectExpr("*", "text AS k", "doc_id AS h", "text AS range", "1 AS guest")
+    got = fingerprints.against_next(df, range_rows=range_rows).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, expected))
+
+
+def test_hot_ids_are_spread_over_ranges(spark):
+    cuts = [-(2**63)] * 4 + [3, 9, 9]
+    keys = spark.range(1000).selectExpr("CASE id % 3 WHEN 0 THEN -9223372036854775808 WHEN 1 THEN 9 ELSE id END AS k", "xxhash64(id) AS h")
+    found = keys.withColumn("range", fingerprints._range_of(cuts)).orderBy("k", "h").collect()
+    ranges = [r.range for r in found]
+    assert ranges == sorted(ranges)
+    sizes = Counter((r.k, r.range) for r in found)
+    assert sum(k == -(2**63) for k, _ in sizes) == 4 and sum(k == 9 for k, _ in sizes) == 2
+
+
 def test_likeness_is_generalised_jaccard():
     rng = random.Random(1)
     pairs = [(prose(rng, 80, "abc"), prose(rng, 60, "abc")) for _ in range(40)]
