@@ -31,6 +31,8 @@ PAIRS, BLOCK, BYTES = 1 << 18, 1 << 12, 4 << 20
 #: Ranges of ids that documents are dealt into to find each one's next: at least so many, and more
 #: where a range would hold more rows than this.
 RANGES, RANGE_ROWS = 256, 250_000
+#: Rows, one per range, that are broadcast; 24 MB.
+MOST_SENT = 1_000_000
 _SMALLEST = -(2**63)
 _U = np.uint64
 
@@ -207,6 +209,8 @@ def against_next(docs: DataFrame, samples: int = SAMPLES, range_rows: int = RANG
     guests = [(heads[i - 1][0], *heads[i]) for i in range(1, len(heads))]
     guests += [(heads[-1][0], *heads[0])] if heads else []
     asked = docs.sparkSession.createDataFrame(guests, "host int, range int, k long, h long")
+    # A row of 24 bytes per range: sent to every task, or joined by a shuffle beyond the bound.
+    asked = F.broadcast(asked) if len(guests) <= MOST_SENT else asked
     guest = keyed.join(asked, ["range", "k", "h"]).dropDuplicates(["host"])
     both = keyed.withColumn("guest", F.lit(False)).unionByName(
         guest.drop("range").withColumnRenamed("host", "range").withColumn("guest", F.lit(True))
