@@ -11,7 +11,7 @@ from ledgerloom.operators import checks as c
 from ledgerloom.plans import products as p
 from ledgerloom.plans import suites
 from ledgerloom.plans.contracts import fact_contract
-from ledgerloom.sources import layers, releases
+from ledgerloom.sources import layers, releases, statistics
 from ledgerloom.sources.seeds import Seeds, built_in_seeds
 from ledgerloom.sources.snapshots import (
     chosen_partition,
@@ -19,10 +19,12 @@ from ledgerloom.sources.snapshots import (
     extract_snapshot,
     load_date_before,
     newest_load_date,
-    replace_partition,
+    switch_partition,
+    write_partition,
 )
 
 RAW_TABLE = "raw.products"
+RAW_STATISTICS = "raw.products_statistics"
 #: What is checked by product, and the column that holds its key.
 BUCKET_KEYS = {"stg_products": "barcode", "dim_product": "product_key", "fct_nutrition": "product_key"}
 
@@ -43,9 +45,15 @@ def load(
     loaded_at: dt.datetime,
     tag: str | None = "en:netherlands",
 ) -> None:
-    """Replace one dated load of the raw table."""
+    """Replace one dated load of the raw table, and its statistics.
+
+    The statistics are made from the written version and name that version.
+    """
     layers.create_layers(spark)
-    replace_partition(extract_snapshot(source, load_date, tag, loaded_at), RAW_TABLE, load_date)
+    path = write_partition(extract_snapshot(source, load_date, tag, loaded_at), RAW_TABLE, load_date)
+    rows = spark.read.schema(spark.table(RAW_TABLE).drop("load_date").schema).parquet(path)
+    switch_partition(spark, RAW_TABLE, load_date, path)
+    statistics.store(suites.raw_statistics(rows), RAW_STATISTICS, load_date, path)
 
 
 def check_load(
@@ -54,8 +62,9 @@ def check_load(
     """Stop unless the load passes all raw checks. Run again it gives the same answer."""
     stored = spark.table(RAW_TABLE)
     previous = load_date_before(spark, RAW_TABLE, load_date)
+    n_before = statistics.stored_rows(spark, RAW_TABLE, RAW_STATISTICS, previous) if previous else None
     checks, tables = suites.raw_gate(
-        conform_to_raw(stored), load_date, as_of, previous=previous, **options
+        conform_to_raw(stored), load_date, as_of, previous=previous, previous_rows=n_before, **options
     )
     # The conformed table has every column, so the stored one is asked for them.
     checks = [replace(k, table="stored") if isinstance(k, c.ColumnsCheck) else k for k in checks]

@@ -14,6 +14,7 @@ from ledgerloom.operators import checks as c
 from ledgerloom.operators.checks import Check, Limits
 from ledgerloom.plans.products import GRADES, STATUSES
 from ledgerloom.schemas import RAW
+from ledgerloom.sources import statistics
 from ledgerloom.sources.seeds import Seeds
 from ledgerloom.sources.snapshots import chosen_partition, previous_partition
 
@@ -77,13 +78,21 @@ def raw_checks(
     as_of: dt.datetime,
     row_count_range: tuple[int, int] = ROW_COUNT_RANGE,
     previous: dt.date | None = None,
+    previous_rows: int | None = None,
 ) -> list[Check]:
-    """The 12 checks that one load must pass before anything is built from it."""
+    """The 12 checks that one load must pass before anything is built from it.
+
+    A caller that has the load before's statistics gives its ``previous_rows``, and that load isn't read.
+    """
     layer = table = "raw"
     missing = missing_rules()
+    if previous_rows is None:
+        before = previous_count(raw, load_date, previous)
+    else:
+        before = F.lit(previous_rows)
     return [
         c.row_count_between(layer, table, *row_count_range),
-        c.not_dropped(layer, table, previous_count(raw, load_date, previous), DROP_RATIO),
+        c.not_dropped(layer, table, before, DROP_RATIO),
         c.not_null(layer, table, "barcode"),
         c.unique(layer, table, "barcode", count_rows=True),
         c.matches_mostly(layer, table, "barcode", matches("barcode"), BARCODE_MISMATCH_SHARE),
@@ -97,6 +106,21 @@ def raw_checks(
     ]
 
 
+def raw_statistics(load: DataFrame) -> DataFrame:
+    """What is stored with every raw load: size, keys, completeness, broken barcodes, newest time."""
+    return statistics.describe(load, "raw", **raw_metrics())
+
+
+def raw_metrics() -> dict:
+    """Arguments of a profile, or of statistics, of raw loads."""
+    return {
+        "distinct": ["barcode"],
+        "missing": {**missing_rules(), "nutriscore_grade": F.col("nutriscore_grade").isNull()},
+        "rules": {"barcode_format": (F.col("barcode").isNotNull(), ~matches("barcode"))},
+        "newest": "loaded_at",
+    }
+
+
 def raw_gate(
     raw: DataFrame, load_date: dt.date | str, as_of: dt.datetime, **options
 ) -> tuple[list[Check], dict[str, DataFrame]]:

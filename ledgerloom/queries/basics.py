@@ -182,6 +182,19 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("tags")
 
 
+@query("""
+SELECT doc_id, chr(10) || '"' || coalesce(text, '') || '", ' || source || chr(10) AS text, nullif(lang, '') AS lang
+FROM documents
+""")
+def csv_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts with line breaks, commas and quotes as cells; records are cut by many tasks per file."""
+    text = F.concat(F.lit('\n"'), F.coalesce("text", F.lit("")), F.lit('", '), "source", F.lit("\n"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
+    path = scratch_path(spark, "documents-csv")
+    files.write_csv(documents, path)
+    return files.read_csv(spark, path, documents.schema)
+
+
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def parquet_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Written to a new path that appears only when complete."""

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.text import matches
 from ledgerloom.operators import checks as c
 from ledgerloom.operators import profiling
 from ledgerloom.plans import products as p
@@ -348,14 +347,7 @@ def _raw_metrics(source: str) -> str:
 
 
 def _raw_profile(load: DataFrame) -> DataFrame:
-    return profiling.profile(
-        load,
-        "raw",
-        distinct=["barcode"],
-        missing={**suites.missing_rules(), "nutriscore_grade": F.col("nutriscore_grade").isNull()},
-        rules={"barcode_format": (F.col("barcode").isNotNull(), ~matches("barcode"))},
-        newest="loaded_at",
-    )
+    return profiling.profile(load, "raw", **suites.raw_metrics())
 
 
 @query(model_sql(_raw_metrics("one_load")))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.nested import nested_columns, with_json_text, with_parsed_json
+from ledgerloom.sources.records import records
 
 #: Outer spaces are part of a cell, and times have six digits, on writing and on reading.
 CELLS = {
@@ -13,24 +15,29 @@ CELLS = {
     "ignoreTrailingWhiteSpace": False,
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
 }
+READ = {"nullValue": "", "quote": '"', "escape": '"', **CELLS}
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool = True, whole_files: bool = False
 ) -> DataFrame:
-    """Typed CSV: an empty cell is NULL, nested columns are cells of JSON text.
+    """Typed CSV with a header: an empty cell is NULL, nested columns are cells of JSON text.
 
-    Cells may hold line breaks, which makes Spark read each file in one task.
-    Say that they do not to have large files split.
+    Cells may hold line breaks; large files are read by many tasks all the same, which takes two or
+    three passes over the text. Say that there are no ``line_breaks`` to have it read once. With
+    ``whole_files`` each file is read by one task, which also copes with stray quotes inside a cell.
     """
     nested = set(nested_columns(schema))
     flat = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in nested else f.dataType) for f in schema]
     )
-    cells = spark.read.csv(
-        path, schema=flat, header=True, nullValue="", quote='"', escape='"',
-        multiLine=line_breaks, **CELLS,
-    )
+    found = records(spark, path) if line_breaks and not whole_files else None
+    if found is None:
+        cells = spark.read.csv(path, schema=flat, header=True, multiLine=line_breaks, **READ)
+    else:
+        layout = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in flat)
+        options = {k: str(v) for k, v in {**READ, "multiLine": True, "lineSep": "\n"}.items()}
+        cells = found.select(F.from_csv("record", layout, options).alias("cells")).select("cells.*")
     return with_parsed_json(cells, schema)
 
 

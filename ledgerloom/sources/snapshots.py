@@ -116,6 +116,22 @@ def _location(spark: SparkSession, table: str) -> str:
     return rows[-1].data_type.rstrip("/")
 
 
+def partition_location(
+    spark: SparkSession, table: str, load_date: dt.date, column: str = "load_date"
+) -> str | None:
+    """Folder of the version of one partition that readers see, None without the partition."""
+    named = f"PARTITION ({column} = DATE'{load_date.isoformat()}')"
+    if spark.sql(f"SHOW PARTITIONS {table} {named}").isEmpty():
+        return None
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {named}").where("col_name = 'Location'")
+    return described.first().data_type.rstrip("/")
+
+
+def version_name(path: str) -> str:
+    """What tells a version's folder from all others, however the store spells its path."""
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def expire_partition_versions(
     spark: SparkSession, table: str, keep_since: dt.datetime, column: str = "load_date"
 ) -> list[tuple[str, bool]]:
