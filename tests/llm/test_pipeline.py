@@ -66,3 +66,28 @@ def test_stages(spark):
         u = int(brute.hashlib.md5(f"{MIX_SEED}:{row[0]}".encode()).hexdigest()[:13], 16) / 2**52
         assert copies[row[0]] == sum(c <= u for c in mixing.poisson_steps(rates[row[3]]))
     assert len(corpus_pipeline.run(spark, SF_DIR).collect()) == len(mixed)
+
+
+def test_an_empty_table_stays_empty(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = materialise(stage(spark, docs, SF_DIR), name)
+        assert docs.isEmpty() and set(docs.columns) >= {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_columns_with_clashing_names_go_through(spark):
+    """The names that the stages use themselves, as columns of the documents."""
+    names = ["lang_pred", "lang_score", "lang_ambiguous", "fingerprint", "component_id", "contaminated", "n_hit",
+             "n_words", "item_id", "key", "rank", "id", "row", "n", "copy", "spans", "start", "kind", "share"]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(40)
+    plain, named = docs, docs.select("*", *[docs.doc_id.cast("string").alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        plain = materialise(stage(spark, plain, SF_DIR), name)
+        named = materialise(stage(spark, named, SF_DIR), name)
+        assert named.columns == [*docs.columns, *names], name
+        rows = [tuple(r) for r in named.collect()]
+        assert sorted(r[:5] for r in rows) == sorted(tuple(r) for r in plain.collect())
+        assert all(set(r[5:]) == {str(r[0])} for r in rows)
+    mixed = corpus_pipeline.STAGES[-1][1]
+    ids = [Counter(r.doc_id for r in mixed(spark, d, SF_DIR).collect()) for d in (plain, named)]
+    assert ids[0] == ids[1]
