@@ -1,22 +1,24 @@
-"""Removal of repeated byte strings by a distributed, sparse bucket-pointer refinement.
+"""Removal of repeated byte strings by window minima with one split.
 
-All suffixes of all texts would be sorted by their first ``length`` bytes; suffixes of one final
-bucket start with the same string, so a bucket of two or more is a repeat. Done here in levels:
+This stands in for bucket-pointer refinement, whose rounds over all suffixes need an identifier and an
+address for every byte of text: 16 times the input a round. Strings of ``length`` bytes that are equal
+must be found wherever they start. Done here in levels:
 
-1. Initial q-gram buckets. Of the q-grams in a string of ``length`` bytes the one with the smallest
-   identifier stands for it, so neighbouring suffixes share a q-gram: they form a run, and a run is
-   one row instead of fifty suffixes. Suffixes can only be equal if their runs are in one bucket.
-2. Refinement by later offsets. Runs of a bucket with several rows are split by the identifier of
-   all bytes their suffixes reach. Runs of one such bucket are equal as a whole: settled.
-3. Runs whose q-gram is shared but whose reach isn't are the edges of repeats. Only these are
-   refined suffix by suffix: by the bucket identifiers of the bytes at the suffix and of those
-   ``length / 2`` later. Settled runs take part with one representative, so work done is reused.
+1. Window minima. Of the q-grams in a string of ``length`` bytes the one with the smallest hash stands
+   for it, so neighbouring strings share a q-gram: they form a run, and a run is one row instead of fifty
+   strings. Strings can only be equal if their runs are in one bucket.
+2. One split. Runs of a bucket with several rows are split by the hash of all bytes their strings reach.
+   Runs that agree in it are equal as a whole: settled.
+3. Runs whose q-gram is shared but whose reach isn't are the edges of repeats. Only these are compared
+   string by string: by the hash of the first ``length / 2`` bytes and of the rest. Settled runs take part
+   with one representative.
 
-Buckets of one row are settled as soon as they appear and are never looked at again. Identifiers
-are 64-bit polynomial hashes; those of two levels must agree before anything is removed.
+No identifier is updated or used by a later round. Hashes are 64-bit polynomials, those of two levels must
+agree before anything is removed; bytes are never compared.
 
 Null and short texts are kept whole; repeated rows are repeats of each other; matches never cross
-documents. An empty table gives an empty result.
+documents. An empty table gives an empty result. Of extra columns only the id and the text are read, so
+their names can't clash.
 """
 
 from __future__ import annotations
