@@ -63,3 +63,16 @@ def test_built_columns_decide_ties_like_sorted_ones(spark):
     sorted_by = ranking.latest_per_key(df.select("k", "t", list_of.alias("l")), ["k"], "t")
     assert sorted(map(str, built.collect())) == sorted(map(str, sorted_by.collect()))
     assert ("a", 1, [None, 1.0]) in [tuple(r) for r in built.collect()]
+
+
+def test_sample_does_not_shuffle_the_load(spark, folder):
+    models = Models(spark, folder)
+    keys = models.keyed.select("product_key", "category_key").where("product_key IS NOT NULL")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(p.stratified_sample(models.one_load, keys, p.dim_category(models.seeds), 2))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    semi = [line for line in text.splitlines() if "LeftSemi" in line]
+    assert len(semi) == 1 and "BroadcastHashJoin" in semi[0]
