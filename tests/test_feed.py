@@ -5,10 +5,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.operators import checks as c
 from ledgerloom.operators import ranking
 from ledgerloom.plans import products as p
+from ledgerloom.plans import suites
 from ledgerloom.queries.feed import one_load
 from ledgerloom.queries.models import Models
+from ledgerloom.sources.seeds import built_in_seeds
 
 DAY = dt.datetime(1997, 5, 1)
 LINE = (
@@ -76,3 +79,23 @@ def test_sample_does_not_shuffle_the_load(spark, folder):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     semi = [line for line in text.splitlines() if "LeftSemi" in line]
     assert len(semi) == 1 and "BroadcastHashJoin" in semi[0]
+
+
+def test_checks_by_product_shuffle_nothing_and_match_no_tags(spark, folder):
+    tables = Models(spark, folder).stored_tables()
+    flagged = {**tables, "fct_nutrition": suites.with_mass_flag(tables["fct_nutrition"], built_in_seeds(spark))}
+    checks = [k for k in suites.model_checks() if getattr(k, "keys", ("",))[0] in ("barcode", "product_key")]
+    text = plan(c.evaluate(checks, flagged))
+    matching = plan(tables["int_products_categorised"]) + plan(tables["dim_product"])
+    assert "HashAggregate" in text and "Exchange hashpartitioning" not in text
+    assert "array_position" not in matching
+
+
+def test_accepted_values_read_bad_rows_alone(spark):
+    df = spark.createDataFrame([("x",), ("x",), ("a",), (None,)], "v string")
+    checks = [c.accepted_values("l", "t", "v", ["a"]), c.accepted_values("l", "t", "v", ["x"]).named("other")]
+    for table, expected in ((df, {(4, 1)}), (df.limit(0), {(0, 0)})):
+        found = c.evaluate(checks, {"t": table}).collect()
+        assert {(r.n_total, r.n_failed) for r in found} == expected
+    text = plan(c.evaluate(checks, {"t": df}))
+    assert "Filter" in text[text.index("Generate"):].split("LocalTableScan")[0].split("Scan")[0]
