@@ -68,6 +68,25 @@ def test_built_columns_decide_ties_like_sorted_ones(spark):
     assert ("a", 1, [None, 1.0]) in [tuple(r) for r in built.collect()]
 
 
+def test_versions_move_unsorted_and_without_what_is_built_from_them(spark, folder):
+    text = plan(Models(spark, folder).stg_products)
+    shuffled = text[text.index("Exchange hashpartitioning(barcode"):]
+    assert "upper(p_brand" in text and "upper(p_brand" not in shuffled
+    assert "aBcDe" in text and "aBcDe" not in shuffled
+    assert "Sort" not in shuffled and "WindowGroupLimit" not in shuffled
+
+
+def test_built_times_and_texts_choose_like_given_ones(spark):
+    rows = [(k, d, x, y) for k in ("a", "b", None) for d in (1, 2, None) for x in ("z", None, "é") for y in (2, 1)]
+    df = spark.createDataFrame(rows * 2, "k string, d int, x string, y int").where("k <> 'b' OR d = 1 OR k IS NULL")
+    built = {"v": F.array("y"), "u": F.upper("x"), "t": F.col("d") * 10, "w": F.col("d").cast("string")}
+    made = df.select("k", *[column.alias(name) for name, column in built.items()])
+    chosen = ranking.latest_then_built(df.repartition(3), ["k", "v", "u", "t", "w"], ["k"], ["t"], built)
+    given = ranking.latest_per_key(made, ["k"], "t")
+    assert sorted(map(str, chosen.select(given.columns).collect())) == sorted(map(str, given.collect()))
+    assert chosen.count() == 3
+
+
 def test_sample_does_not_shuffle_the_load(spark, folder):
     models = Models(spark, folder)
     keys = models.keyed.select("product_key", "category_key").where("product_key IS NOT NULL")
