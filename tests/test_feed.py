@@ -9,6 +9,7 @@ from ledgerloom.operators import checks as c
 from ledgerloom.operators import ranking
 from ledgerloom.plans import products as p
 from ledgerloom.plans import suites
+from ledgerloom.queries import quality
 from ledgerloom.queries.feed import one_load
 from ledgerloom.queries.models import Models
 from ledgerloom.sources.seeds import built_in_seeds
@@ -87,6 +88,32 @@ def test_built_times_and_texts_choose_like_given_ones(spark):
     assert chosen.count() == 3
 
 
+def test_only_products_that_can_repeat_a_nutrient_are_looked_through(spark):
+    def entries(*names, unit="g"):
+        return [(name, 1.0, unit) for name in names]
+
+    rows = [
+        ("a", entries("fat", "salt")), ("b", entries("fat", "salt", "fat")), ("c", entries("fat")), ("c", entries("fat", "iron")),
+        ("d", entries(None, None)), ("e", None), ("f", []), ("g", [None, None]), ("h", entries("fat", "fat", unit="")),
+        (None, entries("fat")), (None, entries("fat", "salt")), ("i", [("fat", 1.0, "g"), ("fat", None, "g")]),
+    ]
+    products = spark.createDataFrame(rows, "barcode string, nutriments array<struct<name:string,`100g`:double,unit:string>>")
+    kept = p.with_repeated_nutrients(products)
+    assert kept.columns == products.columns
+    assert {r.barcode for r in kept.collect()} == {"b", "c", "d", "g", "h", "i", None} and kept.count() == 9
+    check = c.unique_combination("staging", "stg_product_nutrients", "barcode", "nutrient")
+    found, every = (check.failing({check.table: p.stg_product_nutrients(df)}) for df in (kept, products))
+    assert found.exceptAll(every).isEmpty() and every.exceptAll(found).isEmpty()
+    assert {tuple(r) for r in found.collect()} == {("b", "fat", 2), ("c", "fat", 2), ("d", None, 2), (None, "fat", 2)}
+
+
+def test_duplicate_measures_neither_sorts_products_again_nor_explodes_all(spark, folder):
+    text = plan(quality.duplicate_measures(spark, folder))
+    exploded = text[text.index("Generate explode"):]
+    assert "array_distinct" in exploded
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1
+
+
 def test_sample_does_not_shuffle_the_load(spark, folder):
     models = Models(spark, folder)
     keys = models.keyed.select("product_key", "category_key").where("product_key IS NOT NULL")
