@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 #: Words of lower-cased UTF-8: ASCII letters and digits, and everything beyond ASCII.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-#: The same words as a pattern on text.
-WORD_PATTERN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What stands between words, as a pattern on text.
+GAP_PATTERN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

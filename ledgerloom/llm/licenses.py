@@ -5,16 +5,17 @@ window over the words of the whole text, across line breaks and blank lines: as
 template has, repeats counted, divided by ``threshold``, and ``slack`` more for comment marks and
 filled-in names. A block
 matches a template if it holds at least ``threshold`` of the template's words. Words that no
-template has can't count, so blocks are cut to template words; these are ordered by how often they
-are in the corpus, rarest first. If a block matches, then
+template has can't count, so blocks are cut to template words; these are ordered by how many texts
+of the corpus they are in, rarest first. If a block matches, then
 
 * it shares a word of the template's prefix, the first ``size - needed + 1`` words (prefix filter);
 * it has at least ``needed`` template words (length filter);
 * after the first word they share, both have enough words left (positional filter).
 
 Pairs that pass are verified. Only the join on prefix words makes pairs, never all blocks with all
-templates, and every block is looked at. Windows are looked at in texts that match as a whole, which
-is a block of its own in the join: an occurrence of a word counts for the window starts from which it
+templates. A text is cut into words once, and into blocks if it holds enough words of a template as a
+whole, without which no block of it does; every block of such a text is looked at. Windows are looked
+at in texts that match as a whole, which is a block of its own in the join: an occurrence of a word counts for the window starts from which it
 is reached and no earlier occurrence is meant, so the running sum over the ends of these ranges is the
 number of distinct words in every window.
 
@@ -30,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import WORD_PATTERN, WORD
+from ledgerloom.llm.common import GAP_PATTERN, WORD
 from ledgerloom.session import materialise
 
 #: Phrases and the labels they stand for.
@@ -57,7 +58,8 @@ WHOLE = -1
 
 
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
+    """Cut at what is no word, which takes a third of the time of extracting words."""
+    return F.array_remove(F.split(F.lower(text), GAP_PATTERN), "")
 
 
 def _template_words(text: str) -> list[str]:
@@ -72,71 +74,76 @@ def _needed(size: int, threshold: float) -> int:
     return math.ceil(threshold * size - 1e-9)
 
 
-def word_ranks(docs: DataFrame, templates: Sequence[tuple[str, str]]) -> dict[str, int]:
-    """Template words by their number in all texts, rarest first; ties by the word."""
-    vocabulary = sorted({w for _, t in templates for w in _distinct(t)})
-    found = docs.select(F.explode(words(F.col("text").cast("string"))).alias("w"))
-    counts = found.where(F.col("w").isin(vocabulary)).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    known = {r.w: r.n for r in counts.collect()}
-    return {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (known.get(w, 0), w)))}
+def _vocabulary(templates: Sequence[tuple[str, str]]) -> list[str]:
+    return sorted({w for _, t in templates for w in _distinct(t)})
 
 
-def _blocks(
-    text: Column, ranks: dict[str, int], first: str, templates: Sequence[tuple[str, str]], threshold: float
-) -> Column:
-    """(blocks, hits) of a text that holds a prefix word.
+def word_ranks(parsed: DataFrame, templates: Sequence[tuple[str, str]]) -> dict[str, int]:
+    """Template words by the number of texts that hold them (``known``), rarest first; ties by the word."""
+    found = parsed.select(F.explode("known").alias("w"))
+    known = {r.w: r.n for r in found.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return {w: i for i, w in enumerate(sorted(_vocabulary(templates), key=lambda w: (known.get(w, 0), w)))}
 
-    ``blocks``: sorted ranks of the words of each line and the next one, and of the whole text first.
-    ``hits``: place and rank of each template word, if the whole text has enough of a template's.
-    """
-    rank = F.create_map(*[F.lit(x) for w, r in sorted(ranks.items()) for x in (w, r)])
-    vocabulary = F.array(*[F.lit(w) for w in sorted(ranks)])
-    lines = F.transform(
-        F.split(text, "\n"),
-        lambda line: F.transform(F.array_intersect(words(line), vocabulary), lambda w: rank[w]),
-    )
-    orders = [[ranks[w] for w in _distinct(t)] for _, t in templates]
+
+def _enough(known: Column, templates: Sequence[tuple[str, str]], threshold: float) -> Column:
+    """Whether a text that holds the template words ``known`` matches a template as a whole."""
     wanted = F.array(
         *[
             F.struct(F.lit(_needed(len(o), threshold)).alias("needed"), F.array(*map(F.lit, o)).alias("template"))
-            for o in orders
+            for o in (_distinct(t) for _, t in templates)
             if o
         ]
     )
+    return F.exists(wanted, lambda t: F.size(F.array_intersect(t["template"], known)) >= t["needed"])
+
+
+def _blocks(text: Column, cut: Column, known: Column, vocabulary: Column) -> Column:
+    """(blocks, hits) of a text, the words as places in ``vocabulary``, from 1.
+
+    ``blocks``: words of the whole text and of each line and the next one; ``hits``: place of each template word.
+    """
+
+    def number(w: Column) -> Column:
+        return F.array_position(vocabulary, w).cast("int")
+
+    lines = F.transform(
+        F.split(text, "\n"), lambda line: F.transform(F.array_intersect(words(line), known), number)
+    )
 
     def both(ls: Column) -> Column:
         pairs = F.transform(
             F.sequence(F.lit(0), F.size(ls) - 1),
             lambda i: F.struct(
                 i.alias("line"),
-                F.array_sort(
-                    F.array_union(F.get(ls, i), F.coalesce(F.get(ls, i + 1), F.array().cast("array<int>")))
-                ).alias("ranks"),
+                F.array_union(F.get(ls, i), F.coalesce(F.get(ls, i + 1), F.array().cast("array<int>"))).alias("words"),
             ),
         )
-        whole = F.struct(
-            F.lit(WHOLE).alias("line"), F.array_sort(F.array_distinct(F.flatten(ls))).alias("ranks")
-        )
+        whole = F.struct(F.lit(WHOLE).alias("line"), F.transform(known, number).alias("words"))
         return F.concat(F.array(whole), pairs)
 
-    def places() -> Column:
-        found = F.transform(words(text), lambda w, i: F.struct(i.alias("at"), rank[w].alias("rank")))
-        return F.filter(found, lambda h: h["rank"].isNotNull())
+    hits = F.transform(
+        cut, lambda w, i: F.struct(i.alias("at"), F.when(F.array_contains(known, w), number(w)).alias("word"))
+    )
+    return F.struct(
+        F.transform(F.array(lines), both)[0].alias("blocks"),
+        F.filter(hits, lambda h: h["word"].isNotNull()).alias("hits"),
+    )
 
-    def with_hits(blocks: Column) -> Column:
-        enough = F.exists(
-            wanted,
-            lambda t: F.size(F.array_intersect(t["template"], blocks[0]["ranks"])) >= t["needed"],
-        )
-        none = F.array().cast("array<struct<at:int,rank:int>>")
-        return F.struct(blocks.alias("blocks"), F.when(enough, places()).otherwise(none).alias("hits"))
 
-    found = F.transform(F.transform(F.array(lines), both), with_hits)[0]
-    none = F.struct(
-        F.array().cast("array<struct<line:int,ranks:array<int>>>").alias("blocks"),
-        F.array().cast("array<struct<at:int,rank:int>>").alias("hits"),
+def _ranked(ranks: dict[str, int]) -> tuple[Column, Column]:
+    """``blocks`` and ``hits`` with the ranks of their words; those of a block are sorted."""
+    by_number = F.array(*[F.lit(ranks[w]) for w in sorted(ranks)])
+    blocks = F.transform(
+        "blocks",
+        lambda b: F.struct(
+            b["line"].alias("line"),
+            F.array_sort(F.transform(b["words"], lambda w: F.element_at(by_number, w))).alias("ranks"),
+        ),
+    )
+    hits = F.transform(
+        "hits", lambda h: F.struct(h["at"].alias("at"), F.element_at(by_number, h["word"]).alias("rank"))
     )
-    return F.when(text.rlike(first), found).otherwise(none)
+    return blocks, hits
 
 
 def _best_window(hits: Column, template: Column, width: Column) -> Column:
@@ -167,8 +174,8 @@ def _best_window(hits: Column, template: Column, width: Column) -> Column:
     return F.transform(F.array(by_word), lambda found: F.aggregate(ends(found), first, step))[0]
 
 
-def _phrase_places(text: Column) -> Column:
-    """(start, label) of each place where a phrase's words stand consecutively."""
+def _phrase_places(text: Column, cut: Column) -> Column:
+    """(start, label) of each place where a phrase's words stand consecutively in ``cut``, the text's words."""
 
     def places(found: Column) -> Column:
         def at(i: Column) -> Column:
@@ -188,7 +195,7 @@ def _phrase_places(text: Column) -> Column:
 
     none = F.array().cast("array<struct<start:int,label:string>>")
     phrase = "(?i)license"
-    return F.when(text.rlike(phrase), F.transform(F.array(words(text)), places)[0]).otherwise(none)
+    return F.when(text.rlike(phrase), places(cut)).otherwise(none)
 
 
 def template_matches(
@@ -244,18 +251,19 @@ def scan(
     if not 0 < threshold <= 1:
         raise ValueError("a threshold is above 0 and at most 1")
     docs = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ranks = word_ranks(docs, templates)
-    first = set()
-    for _, text in templates:
-        order = sorted(_distinct(text), key=ranks.get)
-        first |= set(order[: len(order) - _needed(len(order), threshold) + 1])
-    hint = "(?i)" + "|".join(sorted(first))
-    text = F.col("text")
-    parsed = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.size(words(text)).alias("n_words"),
-        _phrase_places(text).alias("places"), _blocks(text, ranks, hint, templates, threshold).alias("found"),
+    vocabulary = F.array(*[F.lit(w) for w in _vocabulary(templates)])
+    text, cut, known = F.col("text"), F.col("cut"), F.col("known")
+    parsed = docs.select(F.monotonically_increasing_id().alias("row"), "*", words(text).alias("cut"))
+    parsed = parsed.select("*", F.array_intersect(cut, vocabulary).alias("known"))
+    found = F.when(_enough(known, templates, threshold), _blocks(text, cut, known, vocabulary))
+    parsed = parsed.select(
+        "row", "doc_id", F.size(cut).alias("n_words"), "known",
+        _phrase_places(text, cut).alias("places"), found.alias("found"),
     )
-    parsed = materialise(parsed, "blocks").select("row", "doc_id", "n_words", "places", "found.*")
+    parsed = materialise(parsed, "blocks")
+    ranks = word_ranks(parsed, templates)
+    blocks, hits = _ranked(ranks)
+    parsed = parsed.select("row", "doc_id", "n_words", "places", "found.*").withColumns({"blocks": blocks, "hits": hits})
     pairs = template_matches(parsed, templates, ranks, threshold, slack)
     whole = F.col("line") == WHOLE
     found = pairs.groupBy("row").agg(

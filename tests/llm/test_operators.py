@@ -521,6 +521,21 @@ def test_notices_over_many_lines(spark, rows):
     assert not any(n.label == "mit-whole" for n in got[len(planted)])
 
 
+def test_license_scan_reads_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def text(i):
+        read.add(1)
+        return f"Text {i}, all\nrights\n\nRESERVED-. all rights" if i % 2 else " -"
+
+    made = F.udf(text, "string").asNondeterministic()
+    docs = spark.range(40, numPartitions=2).select(F.col("id").alias("doc_id"), made("id").alias("text"))
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert read.value == 40
+    assert [tuple(n) for n in got[1].notices] == [(0, "proprietary", 1.0)] and got[1].n_words == 7
+    assert got[0].n_words == 0 and got[0].notices == got[0].matches == []
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     tests = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
