@@ -136,3 +136,15 @@ def test_checks_by_product_shuffle_nothing_and_match_no_tags(spark, folder):
     assert "HashAggregate" in text
     assert "Exchange hashpartitioning(barcode" not in text and "Exchange hashpartitioning(product_key" not in text
     assert "array_position" not in matching
+
+
+def test_checks_make_no_brand_keys_again(spark, folder):
+    tables = Models(spark, folder).stored_tables()
+    assert "regexp_replace" not in plan(tables["dim_product"]) + plan(tables["fct_nutrition"])
+    brands = tables["dim_product"].select("brand_key").distinct()
+    assert brands.join(tables["dim_brand"], "brand_key", "left_anti").isEmpty()
+
+
+def test_raw_gate_reads_what_it_checks(spark, folder):
+    text = plan(quality._raw_results(spark, folder))
+    assert "lineitem" in text and "l_suppkey" not in text and "raw_products" not in text
