@@ -191,6 +191,30 @@ def test_audit_keeps_failing_rows_only_where_there_are_any(spark, tables):
     assert c.sample_failures(ratio, tables, 10).count() == 1
 
 
+def test_no_entry_is_made_for_rows_without_a_bad_value(spark):
+    df = spark.createDataFrame([("a", "x"), ("b", "y"), ("b", None), (None, "z"), ("c", "y")], "k string, v string")
+    checks = [c.accepted_values("l", "t", "k", ["a"]), c.accepted_values("l", "t", "v", ["x", "y"])]
+    out = c.evaluate(checks, {"t": df})
+    assert {r.check: (r.n_total, r.n_failed) for r in out.collect()} == {
+        "accepted_values_t_k": (5, 2), "accepted_values_t_v": (5, 1)
+    }
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan[: plan.index("Scan ExistingRDD")]
+    assert "partial_count" in plan[plan.rindex("Generate explode"):]
+
+
+def test_rows_that_fail_nothing_are_dropped_before_they_are_named(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (7, None), (None, None)], "n int, k string")
+    checks = [c.not_null("l", "t", "n"), c.not_null("l", "t", "k"), c.value_between("l", "t", "n", 0, 5)]
+    failing = c.failing_by_check(checks, {"t": df})
+    assert sorted((r.n or 0, r.k or "", r.failed_check) for r in failing.collect()) == [
+        (0, "", "not_null_t_k"), (0, "", "not_null_t_n"), (0, "b", "not_null_t_n"),
+        (7, "", "not_null_t_k"), (7, "", "value_between_t_n_0_5"),
+    ]
+    plan = failing._jdf.queryExecution().executedPlan().toString()
+    assert "OR" in plan[plan.index("Generate explode"):]
+
+
 def test_raw_gate(spark):
     # 100 clean codes: on the shelf the repeated barcode and the odd code fail.
     good = [Product(f"{i:08d}") for i in range(100)]
